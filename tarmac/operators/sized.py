@@ -1,0 +1,19 @@
+"""Broadcast only what has been measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a narrow lookup (a code and a name, a batch id) that any executor can hold.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
+
+    Meant for narrow lookups. Beyond the bound the join falls back to a shuffle, where
+    adaptive execution splits hot keys.
+    """
+    measured = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if measured <= max_rows else df
