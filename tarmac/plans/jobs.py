@@ -86,12 +86,18 @@ class IngestJob(_Job):
         return [self.ingest(spec, batch_id=batch_id, run_id=run_id) for spec in specs]
 
     def ingest(
-        self, spec: FeedSpec, *, batch_id: str | None = None, run_id: str | None = None
+        self,
+        spec: FeedSpec,
+        *,
+        batch_id: str | None = None,
+        run_id: str | None = None,
+        scanned: Callable[[T.StructType], tuple[DataFrame, list[str]]] | None = None,
     ) -> dict[str, Any]:
         """Load one feed. Rerunning a batch replaces it in the raw and the rejected table.
 
         Rows of a feed that names no batch, in a run that gives none, form a batch of their
-        own named after the run.
+        own named after the run. ``scanned`` gives the text rows and new fields for the
+        current schema; by default the files of the spec are read.
         """
         run_id = run_id or str(uuid4())
         target = self.lake.table(spec.target_table)
@@ -113,7 +119,7 @@ class IngestJob(_Job):
             undo=undo,
         ) as outcome:
             schema = target.current().schema
-            texts, fresh = scan(self.spark, spec, schema)
+            texts, fresh = scanned(schema) if scanned else scan(self.spark, spec, schema)
             typed = type_fields(
                 texts, schema, new_columns=fresh, rescued_column=spec.rescued_column
             )

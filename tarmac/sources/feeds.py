@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from tarmac.functions.codes import blank_to_null
 from tarmac.operators.align import quoted
@@ -21,6 +22,8 @@ HELPERS = (CORRUPT, SOURCE_FILE, UNKNOWN)
 
 RESCUED_COLUMN = "_rescued_data"
 
+Reader = DataFrameReader | DataStreamReader
+
 
 @dataclass(frozen=True)
 class FeedSpec:
@@ -124,17 +127,17 @@ def csv_header(spark: SparkSession, spec: FeedSpec) -> list[str]:
     return spark.read.options(**csv_options(spec)).csv(spec.source_path).columns
 
 
-def scan_csv(spark: SparkSession, spec: FeedSpec, names: list[str]) -> DataFrame:
-    lines = spark.read.options(**csv_options(spec)).schema(_text_schema(names)).csv(spec.source_path)
+def scan_csv(reader: Reader, spec: FeedSpec, names: list[str]) -> DataFrame:
+    lines = reader.options(**csv_options(spec)).schema(_text_schema(names)).csv(spec.source_path)
     nothing = F.lit(None).cast("map<string,string>")
     return _texts(
         lines.select("*", scanned_file_name().alias(SOURCE_FILE), nothing.alias(UNKNOWN)), names
     )
 
 
-def json_lines(spark: SparkSession, spec: FeedSpec) -> DataFrame:
+def json_lines(reader: Reader, spec: FeedSpec) -> DataFrame:
     """One row per non-blank line, with the name of its file."""
-    lines = spark.read.options(**spec.options).text(spec.source_path)
+    lines = reader.options(**spec.options).text(spec.source_path)
     return lines.select("value", scanned_file_name().alias(SOURCE_FILE)).filter(
         F.trim("value") != ""
     )
@@ -173,7 +176,7 @@ def scan(
     if normalize_format(spec.source_format) == "csv":
         names = csv_header(spark, spec)
         fresh = [n for n in names if n not in known]
-        return scan_csv(spark, spec, names), fresh if spec.allow_schema_evolution else []
-    lines = json_lines(spark, spec)
+        return scan_csv(spark.read, spec, names), fresh if spec.allow_schema_evolution else []
+    lines = json_lines(spark.read, spec)
     fresh = json_new_keys(lines, known) if spec.allow_schema_evolution else []
     return parse_json_lines(lines, [*known, *fresh], spec.options), fresh
