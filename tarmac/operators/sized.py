@@ -1,4 +1,4 @@
-"""Broadcast only what has been measured to be small."""
+"""Choices that depend on the size of the input: checked broadcasts, spreading small scans."""
 
 from __future__ import annotations
 
@@ -17,3 +17,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """
     measured = df.limit(max_rows + 1).count()
     return F.broadcast(df) if measured <= max_rows else df
+
+
+def spread_if_few_splits(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash ``df`` over all cores when its scan has fewer splits than there are cores.
+
+    Inputs of a cluster's size have many more splits than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.codes import station_code
 from tarmac.functions.clock import clock_timestamp
+from tarmac.functions.codes import station_code
+from tarmac.operators.sized import spread_if_few_splits
 
 # Minutes between a weather observation and the movement it belongs to.
 OBSERVATION_LEAD_MINUTES = 35
@@ -28,7 +29,9 @@ def _clock(minutes: str) -> str:
 
 def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
     """Flight feed with text clocks, faulty rows and restated first line items."""
-    lines = table(spark, folder, "lineitem")
+    lines = spread_if_few_splits(
+        table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"
+    )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
@@ -55,7 +58,7 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
 
     def cause(number: int) -> str:
         return (
-            f"cast(if(not canc and ad > {15} and l_linenumber % 5 = {number}, "
+            f"cast(if(not canc and ad > 15 and l_linenumber % 5 = {number}, "
             "ad + 5 * restated, 0) as double)"
         )
 
