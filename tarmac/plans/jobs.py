@@ -68,7 +68,7 @@ class _Job:
         ) as outcome:
             current = table.current()
             load = table.stage(align(build(), current.schema, skip=(table.definition.key,)))
-            removed = table.read().count()
+            removed = table.row_count()
             table.publish(load, replace_all=True, run_id=run_id)
             outcome.update(rows_written=load.rows, rows_removed=removed)
         return {"target_table": name, "rows_written": load.rows, "rows_removed": removed}
@@ -169,7 +169,7 @@ class IngestJob(_Job):
             rescued = self._stage_rejected(spec, typed, batch_id, run_id)
 
         overwrite = spec.write_mode == "overwrite"
-        removed = target.read().count() if overwrite else target.rows_in(load.batches)
+        removed = target.row_count() if overwrite else target.rows_in(load.batches)
         if captures:
             self._publish_rejected(spec, rescued, load, overwrite, run_id)
         target.publish(load, replace_all=overwrite, schema=schema, run_id=run_id)

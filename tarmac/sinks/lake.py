@@ -157,6 +157,9 @@ class LakeTable:
         hit = sorted(set(batches) & set(self.live_batches()))
         return self.read().filter(F.col("batch_id").isin(hit)).count() if hit else 0
 
+    def row_count(self) -> int:
+        return self.read().count() if self.current().loads else 0
+
     # ---- writing ---------------------------------------------------------------------------
 
     def stage(self, df: DataFrame, *, rebalance: bool = True) -> Load:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import shutil
 
 import pytest
 from conftest import write_csv, write_json
@@ -12,15 +13,25 @@ from samples import FLIGHTS, flight
 from tarmac.plans import checks, jobs
 from tarmac.plans.jobs import IngestJob, RefineJob, ReportJob, create_all
 from tarmac.sinks.audit import AuditLog
+from tarmac.sinks.lake import Lake
 from tarmac.sources.feeds import feed_catalogue, feed_spec
 from tarmac.streaming.filedrop import ingest_stream
 
 RAW, REJECTED = "bronze.flight_operations_raw", "bronze.flight_operations_rejected"
 
 
+@pytest.fixture(scope="module")
+def empty_lake(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("empty") / "lake"
+    create_all(spark, str(root))
+    return root
+
+
 @pytest.fixture
-def lake(spark, tmp_path):
-    return create_all(spark, str(tmp_path / "lake"))
+def lake(spark, tmp_path, empty_lake):
+    """A lake with all tables, still empty; versions name no absolute paths, so a copy will do."""
+    shutil.copytree(empty_lake, tmp_path / "lake")
+    return Lake(spark, str(tmp_path / "lake"))
 
 
 def flights_spec(root, fmt="csv"):
@@ -166,8 +177,6 @@ def test_overwrite_and_no_capture(lake, tmp_path):
 
 
 def test_missing_tables(spark, tmp_path):
-    from tarmac.sinks.lake import Lake
-
     empty = Lake(spark, str(tmp_path / "nothing"))
     assert empty.table(RAW).version() is None and empty.table(RAW).restore(3) is None
     write_flights(tmp_path, [flight()])
