@@ -6,26 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def clock_digits(hhmm: Column) -> Column:
-    """Four clock digits: other characters dropped, zero-padded, cut after four.
+def clock_number(hhmm: Column) -> Column:
+    """The clock as a number, 0610 being 610.
 
-    NULL when the text holds no digit at all.
+    Other characters are dropped, the digits zero-padded to four and cut after four; NULL when
+    the text holds no digit. Up to four plain digits, the usual case, need no pattern matching.
     """
+    plain = F.when(F.length(F.trim(hhmm)) <= 4, F.abs(hhmm.try_cast("int")))
     digits = F.regexp_replace(hhmm, r"[^0-9]", "")
-    return F.when(digits != "", F.lpad(digits, 4, "0"))
+    other = F.when(digits != "", F.lpad(digits, 4, "0").cast("int"))
+    return F.coalesce(plain, other)
 
 
 def clock_timestamp(day: Column, hhmm: Column) -> Column:
     """The moment ``hhmm`` on ``day``; NULL for blanks and impossible clocks such as 2400."""
-    digits = clock_digits(hhmm)
-    return F.try_make_timestamp(
-        F.year(day),
-        F.month(day),
-        F.day(day),
-        F.substring(digits, 1, 2).cast("int"),
-        F.substring(digits, 3, 2).cast("int"),
-        F.lit(0),
-    )
+    clock = clock_number(hhmm)
+    hour, minute = (clock / 100).cast("int"), clock % 100
+    return F.try_make_timestamp(F.year(day), F.month(day), F.day(day), hour, minute, F.lit(0))
 
 
 def roll_overnight(start: Column, end: Column) -> Column:
