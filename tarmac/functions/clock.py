@@ -22,7 +22,8 @@ def clock_timestamp(day: Column, hhmm: Column) -> Column:
     """The moment ``hhmm`` on ``day``; NULL for blanks and impossible clocks such as 2400."""
     clock = clock_number(hhmm)
     hour, minute = (clock / 100).cast("int"), clock % 100
-    return F.try_make_timestamp(F.year(day), F.month(day), F.day(day), hour, minute, F.lit(0))
+    moment = F.make_timestamp(F.year(day), F.month(day), F.day(day), hour, minute, F.lit(0))
+    return F.when((clock < 2400) & (minute < 60), moment)
 
 
 def roll_overnight(start: Column, end: Column) -> Column:

@@ -166,7 +166,9 @@ class IngestJob(_Job):
         load = target.stage(align(filled, schema, lenient=True), rebalance=False)
         rescued = None
         if captures and seen.get["n"]:
-            rescued = self._stage_rejected(spec, typed, batch_id, run_id)
+            # A row that cannot say which batch it belongs to goes with the only one there is.
+            home = load.batches[0] if len(load.batches) == 1 else run_id
+            rescued = self._stage_rejected(spec, typed, batch_id, home)
 
         overwrite = spec.write_mode == "overwrite"
         removed = target.row_count() if overwrite else target.rows_in(load.batches)
@@ -188,12 +190,12 @@ class IngestJob(_Job):
         }
 
     def _rejected_rows(
-        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, run_id: str
+        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, home: str
     ) -> DataFrame:
         _, misfits = split_rescued(typed, spec.rescued_column)
-        batch: Column | str = batch_id or F.lit(run_id)
+        batch: Column | str = batch_id or home
         if not batch_id and "batch_id" in typed.columns:
-            batch = F.coalesce("batch_id", F.lit(run_id))
+            batch = F.coalesce("batch_id", F.lit(home))
         return rejected_records(
             misfits,
             source_table=spec.target_table,
@@ -205,10 +207,10 @@ class IngestJob(_Job):
         )
 
     def _stage_rejected(
-        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, run_id: str
+        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, home: str
     ) -> Load:
         table = self.lake.table(spec.rejected_table)
-        rows = self._rejected_rows(spec, typed, batch_id, run_id)
+        rows = self._rejected_rows(spec, typed, batch_id, home)
         return table.stage(align(rows, table.current().schema))
 
     def _publish_rejected(

@@ -106,6 +106,16 @@ def test_batches_named_by_the_feed_and_by_the_run(lake, tmp_path):
     assert got == {"1": "batch_1", "2": "run-1"} and lake.read(RAW).count() == 2
 
 
+def test_lines_that_name_no_batch_are_replaced_on_rerun(lake, tmp_path):
+    write_flights(tmp_path, [flight()])
+    with (tmp_path / "data" / "raw" / "flight_operations" / "a.csv").open("a") as out:
+        out.write("2025-03-01,UA\n")
+    for _ in range(2):
+        IngestJob(lake).ingest(flights_spec(tmp_path))
+    assert [r["batch_id"] for r in lake.read(REJECTED).collect()] == ["batch_1"]
+    assert lake.read(RAW).count() == 1
+
+
 def test_failure_leaves_both_tables_as_they_were(spark, lake, tmp_path, monkeypatch):
     write_flights(tmp_path, [flight(), flight(flight_number="2", taxi_in="abc")])
     job, spec = IngestJob(lake), flights_spec(tmp_path)
