@@ -489,6 +489,23 @@ def weather_asof(spark: SparkSession, d: str) -> DataFrame:
     return weather_at(flights, starfeed.movement_weather(raw), _airports(spark, d))
 
 
+# ---- text operators, where they are present ------------------------------------------------
+
+_SQL = dict(ORACLE)
+try:
+    import corpus_pipeline
+    from tarmac.llm import queries as _texts
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tarmac.llm"):
+        raise
+else:
+    _QUERIES.update(_texts.QUERIES)
+    _SQL.update(_texts.ORACLE)
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # ---- contract ------------------------------------------------------------------------------
 
 
@@ -502,4 +519,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(_SQL)
