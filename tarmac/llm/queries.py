@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import jaccard_join, quartile_digest, trie_bpe
+from tarmac.llm import jaccard_join, kneser_ney, quartile_digest, trie_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,8 @@ def op4_trie_bpe(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op7_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, d, "documents"))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
+    return kneser_ney.score_documents(table(spark, d, "documents"))
