@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import jaccard_join, kneser_ney, quartile_digest, trie_bpe
+from tarmac.llm import (
+    jaccard_join,
+    kneser_ney,
+    language_mixture,
+    quartile_digest,
+    spaced_seeds,
+    trie_bpe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +54,13 @@ def op7_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
     return kneser_ney.score_documents(table(spark, d, "documents"))
+
+
+@query
+def op6_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
+    return spaced_seeds.benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op9_language_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return language_mixture.predict_languages(table(spark, d, "documents"))
