@@ -451,3 +451,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # Empty sets share a class but are linked with nothing.
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component.
+
+    Rows that repeat a doc_id stay or go together; a null doc_id stays.
+    """
+    found = jaccard_components(docs).where("doc_id is not null")
+    gone = keep(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")

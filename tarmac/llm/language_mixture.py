@@ -18,9 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.llm.store import setup
 from tarmac.llm.words import mix
@@ -123,6 +125,26 @@ def infer(counts: list[np.ndarray], table: np.ndarray) -> tuple[np.ndarray, np.n
     return chosen, free
 
 
+def _predict(texts: list, names: list[str], table: np.ndarray) -> pd.DataFrame:
+    texts = [t if isinstance(t, str) else "" for t in texts]
+    good = [i for i, t in enumerate(texts) if names and _LETTER.search(t)]
+    label, score, sets = [UNKNOWN] * len(texts), [0.0] * len(texts), [""] * len(texts)
+    if good:
+        shares, free = infer([ngram_counts(texts[i]) for i in good], table)
+        top = shares.argmax(axis=1)
+        for j, i in enumerate(good):
+            label[i] = names[top[j]]
+            score[i] = float(min(1.0, max(0.0, free[j, top[j]])))
+            sets[i] = ",".join(names[k] for k in np.flatnonzero(shares[j] > 0))
+    return pd.DataFrame({"lang_pred": label, "score": score, "languages": sets})
+
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), 64):
+            yield batch.iloc[at : at + 64].reset_index(drop=True)
+
+
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, languages string"
 
 
@@ -133,28 +155,30 @@ def predict_languages(docs: DataFrame) -> DataFrame:
     names, table = learn_languages(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 64):
-                part = batch.iloc[at : at + 64]
-                texts = [t if isinstance(t, str) else "" for t in part["text"]]
-                good = [i for i, t in enumerate(texts) if names and _LETTER.search(t)]
-                label, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                sets = [""] * len(texts)
-                if good:
-                    shares, free = infer([ngram_counts(texts[i]) for i in good], table)
-                    top = shares.argmax(axis=1)
-                    for j, i in enumerate(good):
-                        label[i] = names[top[j]]
-                        score[i] = float(min(1.0, max(0.0, free[j, top[j]])))
-                        sets[i] = ",".join(names[k] for k in np.flatnonzero(shares[j] > 0))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].astype("Int64").to_numpy(),
-                        "held_out": part["held_out"].to_numpy(),
-                        "lang_pred": label,
-                        "score": score,
-                        "languages": sets,
-                    }
-                ).astype({"doc_id": "Int64"})
+        for part in _parts(batches):
+            found = _predict(part["text"].tolist(), names, table)
+            ids = part["doc_id"].astype("Int64")
+            yield pd.concat([ids, part["held_out"], found], axis=1)
 
     return docs.select("doc_id", "text", held_out().alias("held_out")).mapInPandas(run, RESULT)
+
+
+def add_language(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns lang_pred and lang_score."""
+    setup(docs.sparkSession)
+    names, table = learn_languages(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                found = _predict(part.column("text").to_pylist(), names, table)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(found["lang_pred"], pa.string()), pa.array(found["score"], pa.float64())],
+                    [*part.schema.names, "lang_pred", "lang_score"],
+                )
+
+    schema = T.StructType(
+        [*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
+    )
+    return docs.mapInArrow(run, schema)

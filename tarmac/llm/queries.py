@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
+    crf_pii,
     jaccard_join,
     kneser_ney,
     language_mixture,
+    passages,
     quartile_digest,
+    secret_owners,
     spaced_seeds,
+    tool_links,
     trie_bpe,
 )
 
@@ -64,3 +68,24 @@ def op6_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_language_mixture(spark: SparkSession, d: str) -> DataFrame:
     return language_mixture.predict_languages(table(spark, d, "documents"))
+
+
+@query
+def op3_crf_pii(spark: SparkSession, d: str) -> DataFrame:
+    return crf_pii.personal_data(table(spark, d, "documents"))
+
+
+@query
+def op5_tool_links(spark: SparkSession, d: str) -> DataFrame:
+    calls, results = tool_links.calls_of(table(spark, d, "conversations"))
+    return tool_links.link_tools(calls, results, tool_links.tools(spark))
+
+
+@query
+def op8_secret_owners(spark: SparkSession, d: str) -> DataFrame:
+    return secret_owners.owned_secrets(table(spark, d, "documents"))
+
+
+@query
+def op2_passages(spark: SparkSession, d: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, d, "documents"))

@@ -21,6 +21,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -290,3 +291,31 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
             yield frame
 
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+
+
+def token_ids(docs: DataFrame, path: str) -> DataFrame:
+    """Rows (doc_id, lang, source, n_tokens, ids) of ``docs``."""
+    setup(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = load(path)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 64):
+                part = batch.slice(low, 64)
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x, _ in tokenizer.encode_batch(texts)]
+                ptr = np.cumsum([0, *map(len, ids)])
+                flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in ("doc_id", "lang", "source")),
+                        pa.array(np.diff(ptr), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), flat),
+                    ],
+                    ["doc_id", "lang", "source", "n_tokens", "ids"],
+                )
+
+    columns = docs.select("doc_id", "lang", "source", "text")
+    types = {f.name: f.dataType.simpleString() for f in columns.schema}
+    schema = f"doc_id {types['doc_id']}, lang {types['lang']}, source {types['source']}, n_tokens long, ids array<int>"
+    return columns.mapInArrow(run, schema)
