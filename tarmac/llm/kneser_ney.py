@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import keep, setup
+from tarmac.llm.store import keep, release, setup
 from tarmac.llm.words import mix, words_of
 
 BLOCK_TOKENS = 1_000_000
@@ -128,12 +128,44 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for blk, block in _blocks(batches):
-        n = len(block.words)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, blk)), pa.array(block.words.view(np.int64))], ["blk", "word"]
-        )
+def _word_shards(words: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shard numbers in use, bounds, and the order that sorts the words by shard."""
+    shard = words.view(np.int64) % shards
+    order = np.argsort(shard, kind="stable")
+    cuts = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(words))
+    return shard[order][cuts[:-1]], cuts, order
+
+
+def _asking(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blk, block in _blocks(batches):
+            numbers, cuts, order = _word_shards(block.words, shards)
+            words = block.words[order]
+            asked = [words[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(numbers), blk)), pa.array(numbers), pa.array(asked, pa.binary())],
+                ["blk", "shard", "words"],
+            )
+
+    return run
+
+
+def _answer(asked: pa.Table, stats: pa.Table) -> pa.Table:
+    """Statistics of one shard's words for each block that asks, in the order of its words."""
+    known = stats.column("word").to_numpy().view(_U)
+    order = np.argsort(known)
+    known = known[order]
+    values = np.stack([stats.column(c).to_numpy()[order] for c in _LOOKED_UP], axis=1).reshape(len(known), -1)
+    found = []
+    for words in asked.column("words").to_pylist():
+        words = np.frombuffer(words, _U)
+        out = np.zeros((len(words), len(_LOOKED_UP)), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            there = known[at] == words
+            out[there] = values[at[there]]
+        found.append(out.T.tobytes())
+    return pa.table({"blk": asked.column("blk"), "shard": asked.column("shard"), "counts": pa.array(found, pa.binary())})
 
 
 def _outgoing(shards: int, spread: np.ndarray):
@@ -280,8 +312,10 @@ def _score(model: Model, shards: int, spread: np.ndarray):
         counts = totals.column("counts").to_pylist()
         count = np.frombuffer(b"".join(counts[i] for i in order), np.uint32).astype(np.int64)
         stats = table.take(np.flatnonzero(kind == 2))
-        hashes = stats.column("word").to_numpy().view(_U)
-        values = np.stack([stats.column(c).to_numpy() for c in _LOOKED_UP], axis=1)
+        order = np.argsort(stats.column("shard").to_numpy())
+        answers = stats.column("counts").to_pylist()
+        parts = [np.frombuffer(answers[i], np.int64).reshape(len(_LOOKED_UP), -1) for i in order]
+        hashes, values = block.words[_word_shards(block.words, shards)[2]], np.concatenate(parts, axis=1).T
         first, second, _, _, which = block.bigrams(shards, spread)
         u, w = block.words[first], block.words[second]
         pair = mix(u * _U(3) + mix(w))
@@ -338,11 +372,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     unigram = stats.agg(*exact, F.count_if(F.col("cont") > 0)).head()
     model = Model(tokens, types, list(of_counts[:4]), of_counts["cont"], list(unigram))
 
-    wanted = blocks.mapInArrow(_block_words, "blk long, word long").join(stats, "word", "left")
-    wanted = wanted.select("blk", "word", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in _LOOKED_UP])
+    asked = blocks.mapInArrow(_asking(shards), "blk long, shard long, words binary")
+    known = stats.select(F.pmod("word", F.lit(shards)).alias("shard"), "word", *_LOOKED_UP)
+    answers = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(
+        _answer, "blk long, shard long, counts binary"
+    )
+    answers = keep(answers)
+    totals = keep(merged.where("blk is not null").select("blk", "shard", "counts"))
+    release(merged, stats, words)
     parts = (
         blocks.withColumn("kind", F.lit(0))
-        .unionByName(merged.where("blk is not null").select("blk", "shard", "counts", F.lit(1).alias("kind")), True)
-        .unionByName(wanted.withColumn("kind", F.lit(2)), True)
+        .unionByName(totals.withColumn("kind", F.lit(1)), True)
+        .unionByName(answers.withColumn("kind", F.lit(2)), True)
     )
     return parts.groupBy("blk").applyInArrow(_score(model, shards, spread), RESULT)
