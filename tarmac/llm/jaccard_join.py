@@ -9,7 +9,7 @@ at least 0.8 is D(x, y) <= (|x| + |y|) / 9, and implies that the sizes differ by
    that hold its shingle. Cut at a shingle, the sets keep D(x', y') <= D(x, y), so linked sets have their first
    common shingle within the first ``|x| - ceil(0.8 |x|) + 1`` of each: a set is replicated to the regions
    of that window alone. Regions with one class only are dropped before anything else is moved.
-3. Pivots. Within a region each set meets one pivot of its size window; exact links to pivots give
+3. Pivots. Within a region each set meets a few pivots of its size window; exact links to pivots give
    components, and pairs inside a component need no more work. So a large group of near copies costs a
    number of pairs that is linear in its size.
 4. The rest of each region is joined recursively: pivots create Voronoi cells, sets within the window
@@ -32,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import components, keep, setup
+from tarmac.llm.store import components, keep, release, setup
 from tarmac.llm.words import SHINGLE, mix, shingle_set, words_of
 
 COMMON_BITS = 20  # at most 2**20 shingles can be common, 8 MB
 COMMON_LEAST = 64
 BLOCK = 2048
 LEAF = 64
+DENSE = 32  # classes from which on a region carries what precedes its shingle
+TRIES = 4  # pivots that each set meets
 PIVOTS = 12
 _U = np.uint64
 
@@ -192,36 +194,42 @@ def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(rest).combine_chunks()
 
 
-def _pivot_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each class of a region with the pivot of its size window; classes alone in theirs are left out."""
+def _nearest_pivots(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For sorted sizes: the pivot of each set, taken in order of rank, each serving what is left of its size window."""
+    if len(size) == 2:
+        low = int(rank[0] > rank[1])
+        return np.array([low, low] if 5 * size[0] >= 4 * size[1] else [0, 1])
+    home = np.full(len(size), -1, np.int64)
+    for p in np.argsort(rank):
+        if home[p] < 0:
+            low = np.searchsorted(size, -(-4 * size[p] // 5))
+            high = np.searchsorted(size, 5 * size[p] // 4, side="right")
+            free = home[low:high] < 0
+            home[low:high][free] = p
+    return home
+
+
+def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each class of a region with pivots of its size window; classes without another of their size are left out."""
     for table in _by_region(batches):
         cls = table.column("cls").to_numpy()
         n = table.column("n").to_numpy()
         ends = _runs([table.column("s").to_numpy(), table.column("block").to_numpy()])
-        rank = mix(cls.view(_U))
-        near = np.zeros(len(cls), np.int64)
-        for a, b in zip(ends[:-1], ends[1:], strict=True):  # sorted by n within a region
-            size = n[a:b]
-            if b - a == 2:
-                if 5 * size[0] >= 4 * size[1]:
-                    near[a : a + 2] = a + int(rank[a] > rank[a + 1])
-                else:
-                    near[a : a + 2] = (a, a + 1)
-                continue
-            order = np.argsort(rank[a:b])
-            home = np.full(b - a, -1, np.int64)
-            for p in order:
-                if home[p] >= 0:
-                    continue
-                low = np.searchsorted(size, -(-4 * size[p] // 5))
-                high = np.searchsorted(size, 5 * size[p] // 4, side="right")
-                free = home[low:high] < 0
-                home[low:high][free] = p
-            near[a:b] = a + home
-        pairs = np.flatnonzero(near != np.arange(len(cls)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cls[pairs]), pa.array(cls[near[pairs]])], ["a", "b"]
-        )
+        near = np.empty((TRIES, len(cls)), np.int64)
+        for k in range(TRIES):
+            rank = mix(cls.view(_U) + _U(k))
+            for a, b in zip(ends[:-1], ends[1:], strict=True):  # sorted by n within a region
+                near[k, a:b] = a + _nearest_pivots(n[a:b], rank[a:b])
+        # In order of size, a class has another of its size only if a neighbour is one.
+        mate = np.zeros(len(cls), bool)
+        close = 5 * n[:-1] >= 4 * n[1:]
+        close[ends[1:-1] - 1] = False
+        mate[:-1] |= close
+        mate[1:] |= close
+        pivots = cls[near[:, mate]].T
+        ptr = np.arange(len(pivots) + 1, dtype=np.int32) * TRIES
+        column = pa.ListArray.from_arrays(pa.array(ptr), pa.array(pivots.ravel()))
+        yield from table.filter(pa.array(mate)).append_column("pivots", column).to_batches()
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -316,8 +324,9 @@ def region_pairs(n, comp, sketches: list[bytes], half=None) -> tuple[np.ndarray,
 
 def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in _by_region(batches):
-        cls, n, comp, half = (table.column(c).to_numpy() for c in ("cls", "n", "comp", "half"))
+        cls, n, rank, comp, half = (table.column(c).to_numpy() for c in ("cls", "n", "rank", "comp", "half"))
         sketches = table.column("sketch").to_pylist()
+        earlier = table.column("earlier").to_pylist()
         ends = _runs([table.column("s").to_numpy(), table.column("block").to_numpy()])
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for a, b in zip(ends[:-1], ends[1:], strict=True):
@@ -325,6 +334,13 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             split = half[a:b] if half[a] >= 0 else None
             x, y = region_pairs(n[a:b], comp[a:b], sketches[a:b], split)
+            # In the region of their first common shingle, what precedes it in either is not in the other.
+            first = 9 * (rank[a + x] + rank[a + y]) <= n[a + x] + n[a + y]
+            x, y = x[first], y[first]
+            if b - a >= DENSE:  # pairs that share an earlier shingle are found in its region
+                before = [set(e or ()) for e in earlier[a:b]]
+                own = np.array([before[i].isdisjoint(before[j]) for i, j in zip(x, y, strict=True)], bool)
+                x, y = x[own], y[own]
             left.append(cls[a + x])
             right.append(cls[a + y])
         x, y = np.concatenate(left), np.concatenate(right)
@@ -395,21 +411,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shapes = keep(shapes.withColumn("row", F.monotonically_increasing_id()))
     firsts = keep(shapes.groupBy("k1", "k2").agg(F.min("row").alias("cls")))
     rows = keep(shapes.join(firsts, ["k1", "k2"]))
+    release(shapes, firsts)
     classes = rows.where("row = cls").select("cls", "doc_id", "k1", "k2", "n", "sketch", "anchors")
 
     # An anchor whose region holds a single class joins nothing.
-    postings = classes.select(F.explode("anchors").alias("s"), "cls", "n")
+    postings = classes.select(F.posexplode("anchors").alias("rank", "s"), "cls", "n")
     live = postings.groupBy("s").agg(
         F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.count(F.lit(1)).alias("k")
     )
     live = keep(live.where("lo < hi").select("s", "k"))
-    regions = postings.join(live, "s").select("s", F.expr("0 as block"), "cls", "n", "k")
+    regions = postings.join(live, "s").select("s", F.expr("0 as block"), "cls", "n", "rank", "k")
     regions = keep(regions)
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     parts = int(parts)
 
-    dealt = regions.repartition(parts, "s").sortWithinPartitions("s", "n")
-    pairs = dealt.select("s", "block", "cls", "n").mapInArrow(_pivot_pairs, "a long, b long").distinct()
+    dealt = regions.repartition(parts, "s").sortWithinPartitions("s", "n").select("s", "block", "cls", "n", "rank", "k")
+    near = "s long, block int, cls long, n long, rank int, k long, pivots array<long>"
+    mated = keep(dealt.mapInArrow(_pivots, near))
+    release(regions)
+    pairs = mated.select(F.col("cls").alias("a"), F.explode("pivots").alias("b")).where("a <> b").distinct()
     shape = classes.select("cls", "n", "sketch")
     left = shape.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = shape.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
@@ -419,9 +439,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = keep(_verified(docs, known, pairs))
     joined = components(links)
 
-    state = regions.join(joined.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    state = state.select("s", "cls", "n", "k", F.coalesce("root", "cls").alias("comp"))
-    # A set needs to be looked at again only where the region has another of its size and component.
+    state = mated.join(joined.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    state = state.select("s", "cls", "n", "rank", "k", F.coalesce("root", "cls").alias("comp"))
     g = F.greatest(F.lit(1), F.ceil(F.col("k") / BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("cls"), g).cast("int")
     cell = F.explode(
@@ -430,11 +449,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     state = state.withColumn("g", g).withColumn("own", own).withColumn("block", cell)
     # Blocks (i, i) compare within block i, blocks (i, j) across.
     half = F.expr("if(g = 1 or block div g = block % g, -1, own)").alias("half")
-    state = state.select("s", "block", "cls", "n", "comp", half)
-    state = state.join(shape.select("cls", "sketch"), "cls")
+    state = state.select("s", "block", "cls", "n", "rank", "comp", "k", half)
+    earlier = F.when(F.col("k") >= DENSE, F.slice("anchors", 1, F.col("rank"))).alias("earlier")
+    state = state.join(classes.select("cls", "sketch", "anchors"), "cls").withColumn("earlier", earlier)
     state = state.repartition(parts, "s", "block").sortWithinPartitions("s", "block")
     more = keep(
-        state.select("s", "block", "cls", "n", "comp", "half", "sketch")
+        state.select("s", "block", "cls", "n", "rank", "comp", "half", "sketch", "earlier")
         .mapInArrow(_rest_pairs, "a long, b long")
         .distinct()
     )

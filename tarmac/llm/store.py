@@ -55,10 +55,10 @@ def keep(df: DataFrame, *partition_by: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Delete kept tables that nothing needs any more."""
     for table in tables:
-        for name in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            for entry in [x for x in _made if name.endswith(x[1].rsplit("/", 1)[1])]:
-                _delete(*entry)
-                _made.remove(entry)
+        folders = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for f in table.inputFiles()}
+        for entry in [x for x in _made if x[1].rsplit("/", 1)[1] in folders]:
+            _delete(*entry)
+            _made.remove(entry)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
