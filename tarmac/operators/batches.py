@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.sized import broadcast_if_small
-
 
 def batch_ids(df: DataFrame) -> DataFrame:
     """The distinct, known batch ids of ``df`` (an empty frame when it has no such column)."""
@@ -17,6 +15,5 @@ def batch_ids(df: DataFrame) -> DataFrame:
 
 def replace_batches(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """``current`` without the batches that ``incoming`` delivers again, plus ``incoming``."""
-    ids = broadcast_if_small(batch_ids(incoming))
-    kept = current.join(ids, "batch_id", "left_anti")
+    kept = current.join(batch_ids(incoming), "batch_id", "left_anti")
     return kept.unionByName(incoming)

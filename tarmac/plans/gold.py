@@ -14,7 +14,6 @@ from tarmac.functions.measures import (
     is_late,
     known_minutes,
 )
-from tarmac.operators.sized import broadcast_if_small
 
 
 def _stamped(df: DataFrame, now: Column | None) -> DataFrame:
@@ -126,4 +125,4 @@ def aircraft_performance(
     names = aircraft.select(F.upper("aircraft_code").alias("aircraft_code"), "aircraft_name")
     per_tail = _delay_profile(flights, "flight_date", "tail_number", "reporting_airline")
     typed = per_tail.withColumn("aircraft_code", tail_code(F.col("tail_number")))
-    return _stamped(typed.join(broadcast_if_small(names), "aircraft_code", "left"), now)
+    return _stamped(typed.join(names, "aircraft_code", "left"), now)

@@ -63,21 +63,6 @@ def best_match(tables: DataFrame, name: str, *, include_secondary: bool = False)
     return best.select(F.concat_ws(".", "catalog", "schema", "table").alias("full_path"))
 
 
-def answer(
-    tables: DataFrame, request: str, *, include_secondary: bool = False, limit: int = 10
-) -> str:
-    """The matches as a sentence or a short list."""
-    found = search_tables(tables, request, include_secondary=include_secondary, limit=limit)
-    lines = [f"{r.catalog}.{r.schema}.{r.table} ({r.table_type})" for r in found.collect()]
-    if not lines:
-        return f"No table found for '{request}'."
-    if len(lines) == 1:
-        return f"Found table: {lines[0]}"
-    return "\n".join(
-        [f"Found {len(lines)} matching tables for '{request}':", *(f"- {x}" for x in lines)]
-    )
-
-
 def catalog_tables(spark: SparkSession, *, source_rank: int = 0) -> DataFrame:
     """Tables and views of the session catalog, temporary views included."""
     catalog = spark.catalog.currentCatalog()

@@ -10,7 +10,6 @@ from tarmac.functions.fingerprint import with_fingerprint
 from tarmac.operators.align import align, new_fields
 from tarmac.operators.batches import batch_ids, replace_batches
 from tarmac.operators.latest import keep_latest
-from tarmac.operators.sized import broadcast_if_small
 
 
 def _column(spark, values, expr, dtype="string"):
@@ -104,12 +103,9 @@ def test_replace_batches(spark):
     assert batch_ids(new.drop("batch_id")).count() == 0
 
 
-def test_broadcast_needs_a_measured_size(spark):
-    lookup = spark.range(50)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joins = [spark.range(9).join(broadcast_if_small(lookup, n), "id") for n in (50, 49)]
-        plans = [df._jdf.queryExecution().executedPlan().toString() for df in joins]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert ["BroadcastHashJoin" in p for p in plans] == [True, False]
+def test_fractions_do_not_fit_whole_numbers(spark):
+    from tarmac.operators.align import lenient_cast
+
+    rows = spark.createDataFrame([(x,) for x in ("3", "3.0", "3.7", "0.4", "-2.0", "x", None, "9007199254740993")], "a string")
+    got = [r[0] for r in rows.select(lenient_cast(rows["a"], T.LongType())).collect()]
+    assert got == [3, 3, None, None, -2, None, None, 9007199254740993]

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from tarmac.plans.search import answer, best_match, catalog_tables, lake_tables, search_tables
+from tarmac.plans.search import best_match, catalog_tables, lake_tables, search_tables
 from tarmac.sinks.lake import Lake
 
 ROWS = [
@@ -51,15 +51,6 @@ def test_best_match_prefers_exact_over_source(tables):
     assert best("order", include_secondary=True) == ["main.a.orders"]
 
 
-def test_answers(tables):
-    assert answer(tables, "nothing") == "No table found for 'nothing'."
-    assert answer(tables, "old_") == "Found table: main.s.old_orders (MANAGED)"
-    text = answer(tables, "orders", limit=2)
-    assert text.splitlines() == [
-        "Found 2 matching tables for 'orders':", "- main.a.orders (MANAGED)", "- main.t.Orders (VIEW)",
-    ]
-
-
 def test_listings(spark, tmp_path):
     spark.range(1).createOrReplaceTempView("search_probe")
     assert search_tables(catalog_tables(spark), "search_probe").first()["table_type"] == "TEMPORARY"
