@@ -49,22 +49,22 @@ def content(lake, table, *drop):
 def test_whole_pipeline_on_the_sample(spark, lake, feed_root):
     specs = [s for s in feed_catalogue(str(feed_root), "csv") if "weather" not in s.name]
     loaded = IngestJob(lake).run(specs, batch_id="o'b")
-    assert [r["rows_written"] for r in loaded] == [12, 8, 4]
+    assert [r["rows_written"] for r in loaded] == [8, 5, 3]
     refined = {r["target_table"]: r["rows_written"] for r in RefineJob(lake).run()}
-    assert list(refined.values()) == [8, 4, 0, 12, 0, 12]
+    assert list(refined.values()) == [5, 3, 0, 8, 0, 8]
     reported = [r["rows_written"] for r in ReportJob(lake).run()]
-    assert reported == [4, 12, 22, 2, 12]
+    assert reported == [2, 8, 12, 2, 8]
     keys = lake.read("silver.flight_operations_clean").select("flight_operation_key")
-    assert keys.distinct().count() == 12
-    want = {"flight_operations_raw": 12, "route_reference": 12, "on_time_performance_daily": 4}
+    assert keys.distinct().count() == 8
+    want = {"flight_operations_raw": 8, "route_reference": 8, "on_time_performance_daily": 2}
     report = checks.run_checks(lake, want)
     checks.gate(report)
     assert report.filter("status = 'PASS'").count() >= 15
     # Rerun: same content everywhere.
     before = content(lake, RAW, "ingestion_timestamp"), content(lake, "gold.route_delay_summary", "load_timestamp")
     again = IngestJob(lake).run(specs, batch_id="o'b")
-    assert [r["rows_removed"] for r in again] == [12, 8, 4]
-    assert RefineJob(lake).run()[3]["rows_removed"] == 12
+    assert [r["rows_removed"] for r in again] == [8, 5, 3]
+    assert RefineJob(lake).run()[3]["rows_removed"] == 8
     ReportJob(lake).run()
     after = content(lake, RAW, "ingestion_timestamp"), content(lake, "gold.route_delay_summary", "load_timestamp")
     assert after == before
@@ -75,7 +75,7 @@ def test_whole_pipeline_on_the_sample(spark, lake, feed_root):
     silver_log = log.filter("pipeline_name = 'silver_transformation' and stage_name = 'airports_clean'")
     assert {r["batch_id"] for r in silver_log.collect()} == {"o'b"}
     assert "gold_route_delay_summary" in lake.create_views("gold")
-    assert spark.sql("select count(*) from gold_route_delay_summary").first()[0] == 12
+    assert spark.sql("select count(*) from gold_route_delay_summary").first()[0] == 8
 
 
 def test_rerun_replaces_rejected_rows_too(lake, tmp_path):

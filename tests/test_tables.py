@@ -45,9 +45,9 @@ def verdicts(spark, rows):
 
 
 def test_sample_day_is_sound(judged, clean):
-    assert clean.count() == 12
+    assert clean.count() == 8
     assert silver.quarantined_flights(judged).count() == 0
-    assert silver.route_reference(clean).count() == 12
+    assert silver.route_reference(clean).count() == 8
     want = TABLES["silver.flight_operations_clean"].schema.fieldNames()[1:]
     assert clean.columns == want
 
@@ -55,16 +55,16 @@ def test_sample_day_is_sound(judged, clean):
 def test_sample_times_and_flags(clean):
     rows = {r["flight_number"]: r for r in clean.collect()}
     at = lambda day, h, m: datetime(2025, 3, day, h, m)
-    late = rows["814"]
-    assert (late["scheduled_departure_ts"], late["scheduled_arrival_ts"]) == (at(1, 18, 40), at(2, 0, 51))
-    assert (late["actual_departure_ts"], late["actual_arrival_ts"]) == (at(1, 18, 46), at(2, 1, 15))
+    late = rows["13"]
+    assert (late["scheduled_departure_ts"], late["scheduled_arrival_ts"]) == (at(1, 23, 30), at(2, 1, 30))
+    assert (late["actual_departure_ts"], late["actual_arrival_ts"]) == (at(1, 23, 40), at(2, 1, 55))
     assert (late["is_delayed_flag"], late["is_on_time_arrival_flag"]) == (True, False)
-    gone = rows["815"]
+    gone = rows["14"]
     assert gone["actual_departure_ts"] is None and gone["actual_arrival_ts"] is None
     assert not gone["is_on_time_arrival_flag"] and not gone["is_on_time_departure_flag"]
-    assert rows["810"]["route_code"] == "ATL-MIA" and rows["810"]["arrival_delay_minutes"] == -1
+    assert rows["21"]["route_code"] == "WES-MID" and rows["21"]["arrival_delay_minutes"] == -10
     delayed = {n for n, r in rows.items() if r["is_delayed_flag"]}
-    assert delayed == {"808", "809", "812", "814"}
+    assert delayed == {"12", "13", "23"}
 
 
 def test_on_time_performance_of_the_sample(clean):
@@ -72,22 +72,20 @@ def test_on_time_performance_of_the_sample(clean):
     got = {r["reporting_airline"]: tuple(r)[2:18] for r in table.collect()}
     d = Decimal
     assert got == {
-        "AA": (3, 2, 1, 0, 0, 0, 2, 2, d("100.00"), d("5.50"), d("9.50"), 0, 0, 0, 0, 0),
-        "DL": (3, 3, 0, 0, 0, 1, 3, 2, d("66.67"), d("6.67"), d("7.00"), 0, 0, 0, 0, 0),
-        "UA": (3, 3, 0, 0, 1, 2, 2, 1, d("33.33"), d("18.33"), d("29.33"), 0, 0, 0, 0, 45),
-        "VS": (3, 2, 1, 0, 1, 1, 1, 1, d("50.00"), d("8.00"), d("27.00"), 0, 0, 0, 0, 20),
+        "X1": (4, 3, 1, 0, 1, 2, 2, 1, d("33.33"), d("15.00"), d("25.00"), 0, 0, 0, 0, 30),
+        "Y2": (4, 3, 1, 0, 1, 1, 2, 2, d("66.67"), d("5.00"), d("7.00"), 0, 0, 0, 0, 12),
     }
 
 
 def test_airport_delays_of_the_sample(clean):
     rows = gold.airport_delays(clean).collect()
     got = {(r["airport_code"], r["airport_role"], r["reporting_airline"]): r for r in rows}
-    assert len(rows) == 22
-    jfk = got["JFK", "ARRIVAL", "VS"]
-    assert (jfk["total_flights"], jfk["completed_flights"], jfk["cancelled_flights"]) == (2, 1, 1)
-    assert (jfk["avg_delay_minutes"], jfk["max_delay_minutes"], jfk["delayed_flights"]) == (19.5, 39, 1)
-    assert jfk["total_late_aircraft_delay_minutes"] == 20
-    assert got["SEA", "DEPARTURE", "VS"]["avg_delay_minutes"] == -4
+    assert len(rows) == 12
+    hub = got["NOR", "ARRIVAL", "X1"]
+    assert (hub["total_flights"], hub["completed_flights"], hub["cancelled_flights"]) == (2, 1, 1)
+    assert (hub["avg_delay_minutes"], hub["max_delay_minutes"], hub["delayed_flights"]) == (20.0, 40, 1)
+    assert hub["total_late_aircraft_delay_minutes"] == 30
+    assert got["WES", "DEPARTURE", "Y2"]["avg_delay_minutes"] == 7.5
 
 
 def test_cancellations_of_the_sample(clean):
@@ -95,19 +93,19 @@ def test_cancellations_of_the_sample(clean):
         (r["origin_airport"], r["dest_airport"], r["cancellation_reason"], r["cancellation_count"])
         for r in gold.cancellations(clean).collect()
     }
-    assert got == {("SFO", "BOS", "National Air System", 1), ("ATL", "JFK", "Weather", 1)}
+    assert got == {("MID", "WES", "National Air System", 1), ("OST", "NOR", "Weather", 1)}
 
 
 def test_routes_and_aircraft_of_the_sample(spark, clean):
     routes = {r["route_code"]: r for r in gold.route_delays(clean).collect()}
-    assert len(routes) == 12 and routes["ORD-SEA"]["max_arrival_delay_minutes"] == 60
-    assert routes["SFO-BOS"]["max_arrival_delay_minutes"] is None
+    assert len(routes) == 8 and routes["SUD-NOR"]["max_arrival_delay_minutes"] == 40
+    assert routes["MID-WES"]["max_arrival_delay_minutes"] is None
     types = silver.clean_aircraft(raw(spark, "bronze.aircraft_reference_raw", AIRCRAFT))
     tails = gold.aircraft_performance(clean, types).collect()
-    assert len(tails) == 12 and {r["aircraft_name"] for r in tails} == {None}
-    assert {r["aircraft_code"] for r in tails if r["tail_number"] == "N532B7"} == {"32B7"}
+    assert len(tails) == 8 and {r["aircraft_name"] for r in tails} == {None}
+    assert {r["aircraft_code"] for r in tails if r["tail_number"] == "T101C3"} == {"01C3"}
     other = silver.clean_flights(silver.judge_flights(flights_of(spark, [flight()])))
-    assert gold.aircraft_performance(other, types).first()["aircraft_name"] == "Boeing 787-9"
+    assert gold.aircraft_performance(other, types).first()["aircraft_name"] == "Invented Jet 7"
 
 
 @pytest.mark.parametrize(
@@ -116,7 +114,7 @@ def test_routes_and_aircraft_of_the_sample(spark, clean):
         ({"flight_number": ""}, "MISSING_FLIGHT_NUMBER"),
         ({"flight_number": "   "}, "MISSING_FLIGHT_NUMBER"),
         ({"origin_airport": None, "dest_airport": " "}, "MISSING_AIRPORT_CODE"),
-        ({"origin_airport": " lax "}, "INVALID_ROUTE"),
+        ({"origin_airport": " sud "}, "INVALID_ROUTE"),
         ({"crs_dep_time": "2400"}, "INVALID_SCHEDULED_DEPARTURE"),
         ({"crs_dep_time": "6100"}, "INVALID_SCHEDULED_DEPARTURE"),
         ({"crs_dep_time": None}, "INVALID_SCHEDULED_DEPARTURE"),
@@ -159,9 +157,9 @@ def test_unknown_cancellation_and_delays(spark):
     assert got["3"]["is_on_time_arrival_flag"] and not got["3"]["is_delayed_flag"]
     day = gold.on_time_performance(clean).first()
     assert (day["total_flights"], day["completed_flights"], day["cancelled_flights"]) == (3, 2, 0)
-    assert day["avg_arrival_delay_minutes"] == (27 + 15) / 2
+    assert day["avg_arrival_delay_minutes"] == (21 + 15) / 2
     arrival = gold.airport_delays(clean).filter("airport_role = 'ARRIVAL'").first()
-    assert arrival["avg_delay_minutes"] == (27 + 15 + 0) / 3
+    assert arrival["avg_delay_minutes"] == (21 + 15 + 0) / 3
 
 
 def test_all_cancelled_is_zero_percent_and_departure_is_never_rolled(spark):
@@ -178,20 +176,20 @@ def test_all_cancelled_is_zero_percent_and_departure_is_never_rolled(spark):
 
 
 def test_airports_in_any_case_are_one(spark):
-    twin = {**AIRPORTS[0], "iata_code": "jfk", "icao_code": "kjfk", "ident": "kjfk",
+    twin = {**AIRPORTS[0], "iata_code": "nor", "icao_code": "knor", "ident": "knor",
             "ingestion_timestamp": "2026-06-01T00:00:00", "scheduled_service": None}
     nameless = {**AIRPORTS[1], "iata_code": None, "icao_code": None}
     got = silver.clean_airports(raw(spark, "bronze.airports_raw", [*AIRPORTS, twin, nameless]))
     rows = {r["airport_iata_code"]: r for r in got.collect()}
-    assert len(rows) == got.count() == 8
-    assert rows["JFK"]["scheduled_service_flag"] is False and rows["LAX"]["scheduled_service_flag"]
-    assert rows["JFK"]["iso_region"] == "US-XX"
+    assert len(rows) == got.count() == 5
+    assert rows["NOR"]["scheduled_service_flag"] is False and rows["SUD"]["scheduled_service_flag"]
+    assert rows["NOR"]["iso_region"] == "US-XX"
 
 
 def test_weather_is_cleaned_and_found_across_midnight(spark):
     obs = [
-        ("kjfk", "2025-02-28 23:30:10", "ifr"), ("KJFK", "2025-02-28 23:30:10", "vfr"),
-        ("KJFK", "2025-03-01 06:10:00", "lifr"), ("KJFK", "2025-03-01 06:11:00", "mvfr"),
+        ("knor", "2025-02-28 23:30:10", "ifr"), ("KNOR", "2025-02-28 23:30:10", "vfr"),
+        ("KNOR", "2025-03-01 06:40:00", "lifr"), ("KNOR", "2025-03-01 06:41:00", "mvfr"),
         (None, "2025-03-01 06:00:00", "vfr"),
     ]
     rows = [
