@@ -398,7 +398,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFram
     first = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("xa"))
     second = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("xb"))
     both = pairs.join(first, "a").join(second, "b").select("a", "b", "xa", "xb")
-    return both.mapInArrow(_exact_links, "a long, b long")
+    links = keep(both.mapInArrow(_exact_links, "a long, b long"))
+    release(wanted, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -433,10 +435,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shape = classes.select("cls", "n", "sketch")
     left = shape.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = shape.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    pairs = keep(pairs).join(left, "a").join(right, "b")
-    pairs = keep(pairs.mapInArrow(_sketch_filter, "a long, b long"))
+    met = keep(pairs)
+    sketched = met.join(left, "a").join(right, "b")
+    pairs = keep(sketched.mapInArrow(_sketch_filter, "a long, b long"))
     known = classes.select("cls", "doc_id", "k1", "k2")
-    links = keep(_verified(docs, known, pairs))
+    links = _verified(docs, known, pairs)
+    release(live, met, pairs)
     joined = components(links)
 
     state = mated.join(joined.select(F.col("node").alias("cls"), "root"), "cls", "left")
@@ -458,7 +462,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .mapInArrow(_rest_pairs, "a long, b long")
         .distinct()
     )
-    links = links.union(keep(_verified(docs, known, more)))
+    release(mated)
+    links = links.union(_verified(docs, known, more))
 
     roots = components(links).select(F.col("node").alias("cls"), "root")
     placed = keep(
