@@ -12,7 +12,7 @@ at least 0.8 is D(x, y) <= (|x| + |y|) / 9, and implies that the sizes differ by
 3. Pivots. Within a region each set meets a few pivots of its size window; exact links to pivots give
    components, and pairs inside a component need no more work. So a large group of near copies costs a
    number of pairs that is linear in its size.
-4. The rest of each region is joined recursively: pivots create Voronoi cells, sets within the window
+4. The rest of each region, as far as a set has one of another component in its size window, is joined recursively: pivots create Voronoi cells, sets within the window
    ``D(x, p) - D(x, home) <= 2 eps`` are replicated to cell p, cells recurse. Distances here are Hamming distances of
    parity sketches, a metric that never exceeds D, so nothing is lost. Regions beyond
    ``BLOCK`` classes are dealt out as pairs of blocks.
@@ -180,20 +180,58 @@ def _runs(keys: list[np.ndarray]) -> np.ndarray:
 def _by_region(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Whole regions of a partition sorted by region, several at a time."""
     rest: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        rest.append(batch)
-        table = pa.Table.from_batches(rest).combine_chunks()
-        keys = [table.column(c).to_numpy() for c in ("s", "block")]
-        cut = int(_runs(keys)[-2])
-        if cut:
-            yield table.slice(0, cut)
-            rest = table.slice(cut).combine_chunks().to_batches()
+        keys = [batch.column(c).to_numpy() for c in ("s", "block")]
+        cut = int(_runs(keys)[-2])  # where the batch's last region starts
+        first = tuple(k[0] for k in keys)
+        if rest and (cut or first != last):
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)]).combine_chunks()
+            rest = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        rest.append(batch.slice(cut))
+        last = tuple(k[-1] for k in keys)
     if rest:
         yield pa.Table.from_batches(rest).combine_chunks()
 
 
+def _partnered(ends: np.ndarray, n: np.ndarray, rank: np.ndarray, comp: np.ndarray) -> np.ndarray:
+    """Rows that may be one side of a link first met in their region; rows are sorted by n within regions.
+
+    Such a row has one of another component in its size window, and another whose rank goes with its own:
+    in the region of their first common shingle, what precedes it in either set is not in the other.
+    """
+    if not len(n):
+        return np.zeros(0, bool)
+    starts, size = ends[:-1], np.diff(ends)
+    region = np.repeat(np.arange(len(size)), size)
+    late = 9 * rank.astype(np.int64) - n  # of two rows the sum must not exceed 0
+    least = np.minimum.reduceat(late, starts)
+    at = np.flatnonzero(late == least[region])
+    at = at[np.unique(region[at], return_index=True)[1]]
+    others = late.copy()
+    others[at] = np.iinfo(np.int64).max // 2
+    best = least[region]
+    best[at] = np.minimum.reduceat(others, starts)
+    key = (region << 32) + n
+    low = np.searchsorted(key, (region << 32) + -(-4 * n // 5))
+    high = np.searchsorted(key, (region << 32) + 5 * n // 4, side="right")
+    bounds = _runs([region, comp])
+    run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    return (late + best <= 0) & ((low < bounds[run]) | (high > bounds[run + 1]))
+
+
+def _undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that may be linked with a row of another component in their region."""
+    for table in _by_region(batches):
+        ends = _runs([table.column(c).to_numpy() for c in ("s", "block")])
+        mate = _partnered(ends, *(table.column(c).to_numpy() for c in ("n", "rank", "comp")))
+        yield from table.filter(pa.array(mate)).to_batches()
+
+
 def _nearest_pivots(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """For sorted sizes: the pivot of each set, taken in order of rank, each serving what is left of its size window."""
     if len(size) == 2:
@@ -210,7 +248,7 @@ def _nearest_pivots(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each class of a region with pivots of its size window; classes without another of their size are left out."""
+    """Each class of a region with pivots of its size window; classes that cannot have a link there are left out."""
     for table in _by_region(batches):
         cls = table.column("cls").to_numpy()
         n = table.column("n").to_numpy()
@@ -220,12 +258,7 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rank = mix(cls.view(_U) + _U(k))
             for a, b in zip(ends[:-1], ends[1:], strict=True):  # sorted by n within a region
                 near[k, a:b] = a + _nearest_pivots(n[a:b], rank[a:b])
-        # In order of size, a class has another of its size only if a neighbour is one.
-        mate = np.zeros(len(cls), bool)
-        close = 5 * n[:-1] >= 4 * n[1:]
-        close[ends[1:-1] - 1] = False
-        mate[:-1] |= close
-        mate[1:] |= close
+        mate = _partnered(ends, n, table.column("rank").to_numpy(), cls)
         pivots = cls[near[:, mate]].T
         ptr = np.arange(len(pivots) + 1, dtype=np.int32) * TRIES
         column = pa.ListArray.from_arrays(pa.array(ptr), pa.array(pivots.ravel()))
@@ -424,8 +457,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     live = keep(live.where("lo < hi").select("s", "k"))
     regions = postings.join(live, "s").select("s", F.expr("0 as block"), "cls", "n", "rank", "k")
     regions = keep(regions)
-    parts = spark.conf.get("spark.sql.shuffle.partitions")
-    parts = int(parts)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     dealt = regions.repartition(parts, "s").sortWithinPartitions("s", "n").select("s", "block", "cls", "n", "rank", "k")
     near = "s long, block int, cls long, n long, rank int, k long, pivots array<long>"
@@ -454,6 +486,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # Blocks (i, i) compare within block i, blocks (i, j) across.
     half = F.expr("if(g = 1 or block div g = block % g, -1, own)").alias("half")
     state = state.select("s", "block", "cls", "n", "rank", "comp", "k", half)
+    # Only what may still be linked takes its sketch along.
+    narrow = state.repartition(parts, "s", "block").sortWithinPartitions("s", "block", "n", "comp")
+    open_rows = "s long, block int, cls long, n long, rank int, comp long, k long, half int"
+    state = keep(narrow.mapInArrow(_undecided, open_rows))
+    release(mated)
     earlier = F.when(F.col("k") >= DENSE, F.slice("anchors", 1, F.col("rank"))).alias("earlier")
     state = state.join(classes.select("cls", "sketch", "anchors"), "cls").withColumn("earlier", earlier)
     state = state.repartition(parts, "s", "block").sortWithinPartitions("s", "block")
@@ -462,7 +499,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .mapInArrow(_rest_pairs, "a long, b long")
         .distinct()
     )
-    release(mated)
     links = links.union(_verified(docs, known, more))
 
     roots = components(links).select(F.col("node").alias("cls"), "root")
