@@ -102,6 +102,20 @@ def test_cells_of_a_region_lose_no_link(seed):
                 assert (x, y) in got
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_row_with_a_partner_is_left_out(seed):
+    r = random.Random(seed)
+    rows = sorted((r.randrange(12), r.randrange(20, 60), r.randrange(4), r.randrange(13)) for _ in range(80))
+    region, n, comp, rank = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+    mask = jaccard_join._partnered(jaccard_join._runs([region]), n, rank, comp)
+    for i in range(len(rows)):
+        same = [j for j in range(len(rows)) if j != i and region[j] == region[i]]
+        near = [j for j in same if comp[j] != comp[i] and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j])]
+        early = [j for j in same if 9 * (rank[i] + rank[j]) <= n[i] + n[j]]
+        assert mask[i] == (bool(near) and bool(early))
+    assert len(jaccard_join._partnered(np.array([0]), n[:0], rank[:0], comp[:0])) == 0
+
+
 def test_split_regions_give_the_same_components(spark, monkeypatch, documents):
     r = random.Random(3)
     base = [f"w{r.randrange(10**6)}" for _ in range(60)]
