@@ -315,14 +315,16 @@ def schema_evolution(spark: SparkSession, d: str) -> DataFrame:
 @query
 def batch_replace(spark: SparkSession, d: str) -> DataFrame:
     reports = starfeed.raw_flights(spark, d)
-    restated = F.col("batch_id").endswith("_r")
-    columns = ("batch_id", "record_hash", "arr_delay_minutes")
-    incoming = (
-        reports.filter(restated & (F.col("flight_date") >= "1998-01-01"))
-        .select(*columns)
-        .withColumn("batch_id", F.replace("batch_id", F.lit("_r"), F.lit("")))
+    # Three batches are delivered again, one of them without its id; an existing one has lost its id, too.
+    again = F.col("batch_id").isin("batch_1995_r", "batch_1996_r", "batch_1997_r")
+    measures = ("record_hash", "arr_delay_minutes")
+    incoming = reports.filter(again).select(
+        F.expr("nullif(replace(batch_id, '_r', ''), 'batch_1996')").alias("batch_id"), *measures
     )
-    return replace_batches(reports.filter(~restated).select(*columns), incoming)
+    existing = reports.filter(~F.col("batch_id").endswith("_r")).select(
+        F.expr("nullif(batch_id, 'batch_1998')").alias("batch_id"), *measures
+    )
+    return replace_batches(existing, incoming)
 
 
 @query
@@ -396,6 +398,22 @@ def timestamp_sanity(spark: SparkSession, d: str) -> DataFrame:
     return checks.sequence_checks(_flights(spark, d))
 
 
+@query
+def timestamp_sanity_unrolled(spark: SparkSession, d: str) -> DataFrame:
+    """The sequence check on times before arrivals roll to the next day, where it finds something."""
+    flights = silver.standardise_flights(starfeed.raw_flights(spark, d))
+    clocks = {
+        "scheduled_departure_ts": "crs_dep_time",
+        "scheduled_arrival_ts": "crs_arr_time",
+        "actual_departure_ts": "dep_time",
+        "actual_arrival_ts": "arr_time",
+    }
+    day = F.col("flight_date")
+    return checks.sequence_checks(
+        flights.withColumns({name: clock_timestamp(day, F.col(c)) for name, c in clocks.items()})
+    )
+
+
 @query
 def airport_coverage(spark: SparkSession, d: str) -> DataFrame:
     return checks.unmatched_airports(_flights(spark, d), _airports(spark, d))
@@ -489,6 +507,23 @@ def weather_asof(spark: SparkSession, d: str) -> DataFrame:
     return weather_at(flights, starfeed.movement_weather(raw), _airports(spark, d))
 
 
+@query
+def weather_asof_arrivals(spark: SparkSession, d: str) -> DataFrame:
+    """Weather at the scheduled arrival, at most an hour old; arrivals after midnight often have none."""
+    raw = starfeed.raw_flights(spark, d)
+    flights = silver.clean_flights(silver.judge_flights(raw)).select(
+        "record_hash", "batch_id", "dest_airport", "scheduled_arrival_ts"
+    )
+    return weather_at(
+        flights,
+        starfeed.movement_weather(raw),
+        _airports(spark, d),
+        airport="dest_airport",
+        moment="scheduled_arrival_ts",
+        max_age_minutes=60,
+    )
+
+
 # ---- text operators, where they are present ------------------------------------------------
 
 _SQL = dict(ORACLE)

@@ -476,14 +476,14 @@ SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE year(o_order
         FEED,
         select="""
 , incoming AS (
-  SELECT replace(batch_id, '_r', '') AS batch_id, record_hash, arr_delay_minutes
-  FROM feed WHERE batch_id LIKE '%\\_r' ESCAPE '\\' AND flight_date >= DATE '1998-01-01'
+  SELECT nullif(left(batch_id, 10), 'batch_1996') AS batch_id, record_hash, arr_delay_minutes
+  FROM feed WHERE batch_id IN ('batch_1995_r', 'batch_1996_r', 'batch_1997_r')
 ),
 existing AS (
-  SELECT batch_id, record_hash, arr_delay_minutes FROM feed
-  WHERE batch_id NOT LIKE '%\\_r' ESCAPE '\\'
+  SELECT nullif(batch_id, 'batch_1998') AS batch_id, record_hash, arr_delay_minutes FROM feed
+  WHERE length(batch_id) = 10
 )
-SELECT * FROM existing WHERE batch_id NOT IN (SELECT batch_id FROM incoming)
+SELECT * FROM existing e WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.batch_id = e.batch_id)
 UNION ALL
 SELECT * FROM incoming""",
     ),
@@ -581,6 +581,15 @@ SELECT count(*) FILTER (scheduled_arrival_ts < scheduled_departure_ts) AS invali
   count(*) FILTER (actual_arrival_ts < actual_departure_ts) AS invalid_actual_sequence,
   count(*) FILTER (route_code <> origin_airport || '-' || dest_airport) AS invalid_route_code
 FROM flights""",
+    ),
+    "timestamp_sanity_unrolled": _with(
+        FEED,
+        JUDGED,
+        select="""
+SELECT count(*) FILTER (sched_arr < sched_dep) AS invalid_scheduled_sequence,
+  count(*) FILTER (act_arr < act_dep) AS invalid_actual_sequence,
+  count(*) FILTER (route_code <> origin_airport || '-' || dest_airport) AS invalid_route_code
+FROM rolled""",
     ),
     "airport_coverage": _with(
         *_FLIGHTS,
@@ -689,6 +698,24 @@ LEFT JOIN (SELECT airport_iata_code, airport_icao_code AS station_id FROM airpor
 ASOF LEFT JOIN (SELECT *, TRUE AS known FROM ahead) o
   ON a.station_id = o.station_id AND f.scheduled_departure_ts >= o.observation_time,
 LATERAL (SELECT coalesce(f.scheduled_departure_ts - o.observation_time <= INTERVAL 120 MINUTE,
+  FALSE) AS young)""",
+    ),
+    "weather_asof_arrivals": _with(
+        *_FLIGHTS,
+        AIRPORTS,
+        AHEAD,
+        select="""
+SELECT f.record_hash, f.batch_id, f.dest_airport, f.scheduled_arrival_ts, a.station_id,
+  CASE WHEN young THEN o.observation_time END AS observation_time,
+  CASE WHEN young THEN o.flight_category END AS flight_category,
+  CASE WHEN young THEN o.wind_speed_kt END AS wind_speed_kt,
+  CASE WHEN young THEN o.visibility_statute_mi END AS visibility_statute_mi
+FROM flights f
+LEFT JOIN (SELECT airport_iata_code, airport_icao_code AS station_id FROM airports) a
+  ON f.dest_airport = a.airport_iata_code
+ASOF LEFT JOIN ahead o
+  ON a.station_id = o.station_id AND f.scheduled_arrival_ts >= o.observation_time,
+LATERAL (SELECT coalesce(f.scheduled_arrival_ts - o.observation_time <= INTERVAL 60 MINUTE,
   FALSE) AS young)""",
     ),
 }

@@ -157,7 +157,16 @@ def clean_airports(raw: DataFrame) -> DataFrame:
         F.col("ident").alias("airport_ident"),
         F.col("name").alias("airport_name"),
         F.col("type").alias("airport_type"),
-        *_columns_of("silver.airports_clean")[5:],
+        "municipality",
+        "iso_country",
+        "iso_region",
+        "continent",
+        "latitude_deg",
+        "longitude_deg",
+        "elevation_ft",
+        "scheduled_service_flag",
+        "ingestion_timestamp",
+        "batch_id",
     )
 
 

@@ -62,13 +62,18 @@ class AuditLog:
         """Log STARTED, then SUCCESS with what the body put into the yielded dict.
 
         When the body fails, ``undo`` runs, FAILED is logged with what it returns and the error
-        goes on to the caller.
+        goes on to the caller, also when ``undo`` fails.
         """
         self.log(status="STARTED", details=details, **fields)
         outcome: dict[str, Any] = {}
         try:
             yield outcome
         except Exception as error:
-            self.log(**{**fields, "status": "FAILED", "error_message": str(error), **undo()})
+            failed = {**fields, "status": "FAILED", "error_message": str(error)}
+            try:
+                failed |= undo()
+            except Exception as second:
+                failed["error_message"] = f"{error}; taking it back failed as well: {second}"
+            self.log(**failed)
             raise
         self.log(**{**fields, "status": "SUCCESS", **outcome})

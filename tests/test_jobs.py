@@ -211,3 +211,17 @@ def test_files_that_arrive_are_loaded_once(spark, lake, tmp_path):
     assert "gate" in lake.read(RAW).columns
     assert lake.read(RAW).select("batch_id").distinct().count() == 2
     assert {r[0] for r in lake.read(RAW).select(F.col("source_system")).distinct().collect()} == {"sample_ops"}
+
+
+def test_a_failing_rollback_is_logged_and_keeps_the_first_error(spark, tmp_path):
+    log = AuditLog(spark, str(tmp_path))
+    log.create()
+
+    def undo():
+        raise OSError("storage is away")
+
+    with pytest.raises(ValueError, match="bad rows"), log.stage(undo=undo):
+        raise ValueError("bad rows")
+    failed = log.read().filter("status = 'FAILED'").collect()
+    assert len(failed) == 1
+    assert "bad rows" in failed[0].error_message and "storage is away" in failed[0].error_message
