@@ -1,9 +1,8 @@
 """Passages that repeat across documents, found by paragraph MinHash banding.
 
 A paragraph is a line of at least five words. Its MinHash signature is cut into bands; ``tuned_bands`` picks the fewest hashes
-that find a pair at the threshold with the wanted recall. Paragraphs that meet in a band are compared with the
-first and the last of the band, verified by the exact Jaccard similarity of their five-word shingles,
-and clustered into connected components. So that a passage pasted into a longer line is seen too, each sentence of
+that find a pair at the threshold with the wanted recall. All paragraphs that meet another in a band go through the exact
+Jaccard join of their five-word shingles (``jaccard_join``), which clusters them into connected components. So that a passage pasted into a longer line is seen too, each sentence of
 at least five words is a paragraph of its own that is compared for equality only.
 
 Within a document, repeated paragraphs that touch (up to four words apart) make a passage; passages of at least
@@ -24,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import components, keep, setup
+from tarmac.llm.jaccard_join import jaccard_components
+from tarmac.llm.store import keep, release, setup
 from tarmac.llm.words import SHINGLE, mix, text_bytes, windows, words_of
 
 THRESHOLD = 0.8
@@ -102,75 +102,63 @@ def units_of(texts: pa.Array):
     return words, found
 
 
-UNITS = "doc_id long, at int, first_word int, n_words int, key long, bands array<long>"
+UNITS = "doc_id long, row long, first_word int, n_words int, key long, bands array<long>"
+
+
+def _batch(ids, rows, text, starts, sizes, key, bands) -> pa.RecordBatch:
+    n, k = bands.shape
+    ptr = np.arange(n + 1, dtype=np.int32) * k
+    return pa.RecordBatch.from_arrays(
+        [
+            ids.take(pa.array(text)),
+            rows.take(pa.array(text)),
+            pa.array(starts.astype(np.int32)),
+            pa.array(sizes.astype(np.int32)),
+            pa.array(key.view(np.int64)),
+            pa.ListArray.from_arrays(pa.array(ptr), pa.array(bands.view(np.int64).ravel())),
+        ],
+        ["doc_id", "row", "first_word", "n_words", "key", "bands"],
+    )
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words, found = units_of(batch.column("text"))
-        ids = batch.column("doc_id")
         for text, starts, sizes, _, key, bands in found or []:
-            n, k = bands.shape
-            ptr = np.arange(n + 1, dtype=np.int32) * k
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.take(pa.array(text)),
-                    pa.array(text.astype(np.int32)),
-                    pa.array((starts - words.ptr[text]).astype(np.int32)),
-                    pa.array(sizes.astype(np.int32)),
-                    pa.array(key.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ptr), pa.array(bands.view(np.int64).ravel())),
-                ],
-                ["doc_id", "at", "first_word", "n_words", "key", "bands"],
-            )
-
-
-def _line_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield _batch(batch.column("doc_id"), batch.column("row"), text, starts - words.ptr[text], sizes, key, bands)
+
+
+def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted lines as texts of their own, each once per document."""
     for batch in batches:
         words, found = units_of(batch.column("text"))
         if found is None:
             continue
-        _, starts, sizes, _, key, _ = found[0]
-        wanted = batch.column("wanted").to_pylist()
-        text = np.searchsorted(words.ptr, starts, side="right") - 1
+        data, offsets = text_bytes(batch.column("text"))
+        text, starts, sizes, _, key, _ = found[0]
+        wanted = [set(w) for w in batch.column("wanted").to_pylist()]
         rows: tuple[list, list] = ([], [])
-        for i in range(len(starts)):
-            if int(key[i].view(np.int64)) in wanted[text[i]]:
-                part = words.hashes[starts[i] : starts[i] + sizes[i]]
-                rows[0].append(int(key[i].view(np.int64)))
-                rows[1].append(np.unique(windows(part, list(range(SHINGLE)))).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.binary())], ["key", "set"])
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = []
-        for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), strict=True):
-            u, v = np.frombuffer(x, _U), np.frombuffer(y, _U)
-            common = len(np.intersect1d(u, v, assume_unique=True))
-            good.append(common >= THRESHOLD * (len(u) + len(v) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        for i, k in enumerate(key.view(np.int64).tolist()):
+            if k in wanted[text[i]]:
+                wanted[text[i]].remove(k)
+                a, b = words.starts[starts[i]], words.ends[starts[i] + sizes[i] - 1]
+                rows[0].append(k)
+                rows[1].append(data[offsets[text[i]] + a : offsets[text[i]] + b].tobytes().decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string())], ["doc_id", "text"])
 
 
 def _near_lines(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """Links between keys of similar, not equal, paragraphs."""
-    lines = units.where("size(bands) > 0").select("key", "bands", "n_words", "row")
-    lines = keep(lines.groupBy("key").agg(F.any_value("bands").alias("bands"), F.min("n_words").alias("n"), F.min("row").alias("row")))
+    """Rows (key, root): components of similar lines; every line that meets another in a band takes part in the exact join."""
+    lines = units.where("size(bands) > 0").select("key", "bands", "row")
+    lines = keep(lines.groupBy("key").agg(F.any_value("bands").alias("bands"), F.min("row").alias("row")))
     bands = lines.select("key", F.explode("bands").alias("band"))
-    ends = bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
-    ends = keep(ends.where("lo < hi"))
-    near = bands.join(ends, "band")
-    pairs = near.select("key", F.explode(F.array("lo", "hi")).alias("b")).where("key <> b")
-    pairs = keep(pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(lines.select("key", "row"), "key")
-    wanted = wanted.groupBy("row").agg(F.collect_set("key").alias("wanted"))
-    wanted = keep(wanted.withColumnRenamed("row", "want"))
+    shared = bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("band")
+    met = bands.join(shared, "band").select("key").distinct().join(lines.select("key", "row"), "key")
+    wanted = keep(met.groupBy(F.col("row").alias("want")).agg(F.collect_list("key").alias("wanted")))
     texts = docs.join(wanted, F.col("row") == F.col("want")).select("text", "wanted")
-    sets = keep(texts.mapInArrow(_line_sets, "key long, set binary").dropDuplicates(["key"]))
-    first = sets.select(F.col("key").alias("a"), F.col("set").alias("xa"))
-    second = sets.select(F.col("key").alias("b"), F.col("set").alias("xb"))
-    both = pairs.join(first, "a").join(second, "b").select("a", "b", "xa", "xb")
-    return both.mapInArrow(_similar, "a long, b long")
+    texts = keep(texts.mapInArrow(_line_texts, "doc_id long, text string"))
+    release(lines, wanted)
+    return jaccard_components(texts).select(F.col("doc_id").alias("key"), F.col("component_id").alias("root"))
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -180,20 +168,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # A row is known by its doc_id and text, wherever it is read.
     row = F.xxhash64("doc_id", "text").alias("row")
     named = docs.select("doc_id", "text", row)
-    schema = "doc_id long, row long, at int, first_word int, n_words int, key long, bands array<long>"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("row")
-            for part in _units(iter([batch])):
-                columns = [part.column(c) for c in part.schema.names]
-                columns.insert(1, rows.take(part.column("at")))
-                names = part.schema.names
-                yield pa.RecordBatch.from_arrays(columns, [names[0], "row", *names[1:]])
-
-    units = keep(named.mapInArrow(run, schema).drop("at"))
-    links = keep(_near_lines(named, units))
-    roots = components(links).select(F.col("node").alias("key"), "root")
+    units = keep(named.mapInArrow(_units, UNITS))
+    roots = keep(_near_lines(named, units))
     by_key = units.groupBy("key").agg(
         F.min("row").alias("lo"), F.max("row").alias("hi"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "first_word")).alias("first"),

@@ -351,3 +351,25 @@ def test_pipeline(spark, texts):
         ((base, more),) = crf_pii.find_spans([texts[i]], field)
         ((ids, _),) = own.encode_batch([crf_pii.covered(texts[i], base + more)])
         assert row.ids == np.frombuffer(ids, "<u4").tolist() and row.source == table[i]["source"]
+
+
+@pytest.mark.parametrize(("template", "own"), [(30, 10), (40, 10)])
+def test_similar_lines_that_share_a_template(spark, documents, template, own):
+    from pyspark.sql import functions as F
+
+    from tarmac.llm import passages
+
+    r = random.Random(template)
+    shared = [f"t{k}" for k in range(template)]
+    lines = []
+    for family in range(60):
+        line = shared + [f"f{family}x{k}" for k in range(own)]
+        lines += [" ".join(line), " ".join([*line, f"end{r.randrange(10**6)}"])]
+    docs = documents(lines).select("doc_id", "text", F.col("doc_id").alias("row"))
+    units = docs.mapInArrow(passages._units, passages.UNITS).cache()
+    key = {x.row: x.key for x in units.where("first_word = 0 and size(bands) > 0").collect()}
+    root = {x.key: x.root for x in passages._near_lines(docs, units).collect()}
+    want = brute_components(dict(enumerate(lines)))
+    assert len({w[1] for w in want.values()}) == 60
+    got = {i: root.get(k, k) for i, k in key.items()}
+    assert all((got[i] == got[j]) == (want[i][1] == want[j][1]) for i in got for j in got)
