@@ -16,11 +16,12 @@ the first row as read comes first, null doc_ids come last. Columns other than do
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.jaccard_join import jaccard_components
@@ -161,15 +162,96 @@ def _near_lines(docs: DataFrame, units: DataFrame) -> DataFrame:
     return jaccard_components(texts).select(F.col("doc_id").alias("key"), F.col("component_id").alias("root"))
 
 
+def _islands(units: Iterable[tuple[int, int]]) -> list[list[int]]:
+    """Stretches [begin, end] of sorted units that touch."""
+    out: list[list[int]] = []
+    for begin, end in units:
+        if out and begin <= out[-1][1] + GAP:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([begin, end])
+    return out
+
+
+def _sources(begin: int, end: int, units: list[tuple]) -> list[tuple[int, int, int | None]]:
+    """(begin, end, first document) of the parts of an island; parts below ``LEAST_WORDS`` words go with their neighbour."""
+    cuts = [u for i, u in enumerate(units) if not i or u[3] != units[i - 1][3]]
+    ends = [u[0] for u in cuts[1:]] + [end]
+    parts: list[list] = []
+    for (a, _, doc, _), b in zip(cuts, ends, strict=True):
+        if parts and min(b - a, parts[-1][1] - parts[-1][0]) < LEAST_WORDS:
+            parts[-1][1] = b
+        else:
+            parts.append([a, b, Counter()])
+        parts[-1][2][doc] += b - a
+    return [(a, b, tally.most_common(1)[0][0]) for a, b, tally in parts]
+
+
+def passages_of(units: list[tuple]) -> list[tuple]:
+    """(begin, end, first document, removed) of one row's repeated units, sorted (begin, end, first document, its row, copy?).
+
+    Copies alone decide what is removed, so that a first occurrence stays whatever it touches. A run of copies below
+    ``LEAST_WORDS`` words counts with what surrounds it. The first document is None where it is the row's own.
+    """
+    copies = [u[:4] for u in units if u[4]]
+    gone = [(a, b) for a, b in _islands(u[:2] for u in copies) if b - a >= LEAST_WORDS]
+    out = []
+    at = 0
+    for a, b in gone:
+        while at < len(copies) and copies[at][0] < a:
+            at += 1
+        low = at
+        while at < len(copies) and copies[at][0] < b:
+            at += 1
+        out += [(*part, True) for part in _sources(a, b, copies[low:at])]
+    k = 0
+    for a, b in _islands(u[:2] for u in units):
+        while k < len(gone) and gone[k][0] < b:
+            if gone[k][0] - a >= LEAST_WORDS:
+                out.append((a, gone[k][0], None, False))
+            a = max(a, gone[k][1])
+            k += 1
+        if b - a >= LEAST_WORDS:
+            out.append((a, b, None, False))
+    return out
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of rows whose units come one after the other."""
+
+    def close(out: list, doc, units: list) -> None:
+        for a, b, first, removed in passages_of(units):
+            out.append((doc, a, b - a, first if removed else doc, removed))
+
+    def made(out: list) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) if out else [[]] * 5
+        kinds = [pa.int64()] * 4 + [pa.bool_()]
+        names = ["doc_id", "first_word", "n_words", "first_doc_id", "removed"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    doc, row, units = None, None, []
+    for batch in batches:
+        out: list[tuple] = []
+        columns = [batch.column(c).to_pylist() for c in ("doc_id", "row", "first_word", "end", "first_doc_id", "first_row")]
+        for d, r, a, b, first, first_row in zip(*columns, strict=True):
+            if r != row:
+                close(out, doc, units)
+                doc, row, units = d, r, []
+            units.append((a, b, first, first_row, first_row != r))
+        yield made(out)
+    out = []
+    close(out, doc, units)
+    yield made(out)
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, first_word, n_words, first_doc_id, removed), a row per passage and document."""
-    setup(docs.sparkSession)
+    spark = setup(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # A row is known by its doc_id and text, wherever it is read.
-    row = F.xxhash64("doc_id", "text").alias("row")
-    named = docs.select("doc_id", "text", row)
-    units = keep(named.mapInArrow(_units, UNITS))
-    roots = keep(_near_lines(named, units))
+    # Stored, so that a row has one number wherever it is read.
+    docs = keep(docs.withColumn("row", F.monotonically_increasing_id()))
+    units = keep(docs.mapInArrow(_units, UNITS))
+    roots = keep(_near_lines(docs, units))
     by_key = units.groupBy("key").agg(
         F.min("row").alias("lo"), F.max("row").alias("hi"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "first_word")).alias("first"),
@@ -181,23 +263,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     flagged = units.join(known, "key").select(
         "doc_id",
         "row",
-        "first_word",
-        (F.col("first_word") + F.col("n_words")).alias("end"),
+        F.col("first_word").cast("long").alias("first_word"),
+        (F.col("first_word") + F.col("n_words")).cast("long").alias("end"),
         F.col("first.doc_id").alias("first_doc_id"),
-        (F.col("first.row") != F.col("row")).alias("copy"),
-    )
-    text = Window.partitionBy("doc_id", "row").orderBy("first_word", "end")
-    before = F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("first_word") > before + GAP, F.lit(True)).cast("int")
-    islands = flagged.withColumn("opens", opens).withColumn("island", F.sum("opens").over(text))
-    return (
-        islands.groupBy("doc_id", "row", "island")
-        .agg(
-            F.min("first_word").cast("long").alias("first_word"),
-            (F.max("end") - F.min("first_word")).cast("long").alias("n_words"),
-            F.min("first_doc_id").alias("first_doc_id"),
-            F.bool_or("copy").alias("removed"),
-        )
-        .where(F.col("n_words") >= LEAST_WORDS)
-        .select("doc_id", "first_word", "n_words", "first_doc_id", "removed")
+        F.col("first.row").alias("first_row"),
     )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    flagged = flagged.repartition(parts, "row").sortWithinPartitions("row", "first_word", "end")
+    return flagged.mapInArrow(_judged, FOUND)
+
+
+FOUND = "doc_id long, first_word long, n_words long, first_doc_id long, removed boolean"

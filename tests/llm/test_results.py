@@ -373,3 +373,19 @@ def test_similar_lines_that_share_a_template(spark, documents, template, own):
     assert len({w[1] for w in want.values()}) == 60
     got = {i: root.get(k, k) for i, k in key.items()}
     assert all((got[i] == got[j]) == (want[i][1] == want[j][1]) for i in got for j in got)
+
+
+def test_first_occurrences_stay_next_to_copies(spark, documents):
+    from tarmac.llm.passages import repeated_passages
+
+    r = random.Random(8)
+    p, q, z = (" ".join(f"{c}{r.randrange(10**6)}" for _ in range(30)) + "." for c in "pqz")
+    found = repeated_passages(documents([(1, q), (2, p + "\n" + q), (3, p), (4, q + "\n" + p), (None, z), (None, z)])).collect()
+    got = sorted((x.doc_id or 0, x.first_word, x.n_words, x.first_doc_id, x.removed) for x in found)
+    assert got == [
+        (0, 0, 30, None, False), (0, 0, 30, None, True),
+        (1, 0, 30, 1, False),
+        (2, 0, 30, 2, False), (2, 30, 30, 1, True),
+        (3, 0, 30, 2, True),
+        (4, 0, 30, 1, True), (4, 30, 30, 2, True),
+    ]
