@@ -3,7 +3,9 @@
 A paragraph is a line of at least five words. Its MinHash signature is cut into bands; ``tuned_bands`` picks the fewest hashes
 that find a pair at the threshold with the wanted recall. All paragraphs that meet another in a band go through the exact
 Jaccard join of their five-word shingles (``jaccard_join``), which clusters them into connected components. So that a passage pasted into a longer line is seen too, each sentence of
-at least five words is a paragraph of its own that is compared for equality only.
+at least five words is a paragraph of its own that is compared for equality only, and so are windows of ``WINDOW`` words
+that are selected by their words alone, wherever lines and sentences end. Around selected windows that repeat all windows
+are compared, so each stretch of ``LEAST_WORDS`` words that two documents share word for word is found up to its ends.
 
 Within a document, repeated paragraphs that touch (up to four words apart) make a passage; passages of at least
 ``LEAST_WORDS`` words are reported, in the document that comes first (``removed`` is false) as well as in
@@ -32,6 +34,9 @@ THRESHOLD = 0.8
 RECALL = 0.998
 LEAST_WORDS = 25
 GAP = 4
+# Words of a window; of so many windows in a row at least one is selected.
+WINDOW = 12
+SELECT = 9
 _U = np.uint64
 _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
@@ -58,8 +63,32 @@ def _keys(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return mix(np.add.reduceat(mix(hashes + place.astype(_U) * _U(0xD1B54A32D192ED03)), starts))
 
 
+def _window_keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """As ``_keys``, for windows that overlap."""
+    total = np.zeros(len(at), _U)
+    for k in range(WINDOW):
+        total += mix(hashes[at + k] + _U(k * 0xD1B54A32D192ED03 % 2**64))
+    return mix(total)
+
+
+def selected(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """Windows that their words alone select: the lowest hash of each ``SELECT`` windows in a row of one text."""
+    n = len(hashes) - WINDOW - SELECT + 2
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    every = windows(hashes, list(range(WINDOW)))
+    lowest = every[:n].copy()
+    at = np.arange(n)
+    for k in range(1, SELECT):
+        less = every[k : k + n] < lowest
+        lowest[less] = every[k : k + n][less]
+        at[less] = np.flatnonzero(less) + k
+    last = np.repeat(ptr[1:], np.diff(ptr))[:n]
+    return np.unique(at[np.arange(n) + WINDOW + SELECT - 1 <= last])
+
+
 def units_of(texts: pa.Array):
-    """(text, first word, words, whole line?, key, bands) of all paragraphs, and the words."""
+    """(text, first word, words, whole line?, key, bands) of all lines, sentences and selected windows, and the words."""
     words = words_of(texts)
     n = len(words.hashes)
     if not n:
@@ -100,6 +129,10 @@ def units_of(texts: pa.Array):
         found.append(
             (text[keep_], starts[keep_], sizes[keep_], np.full(len(keep_), line), key[keep_], bands[keep_])
         )
+    at = selected(words.hashes, words.ptr)
+    text = np.searchsorted(words.ptr, at, side="right") - 1
+    sizes = np.full(len(at), WINDOW)
+    found.append((text, at, sizes, np.zeros(len(at), bool), _window_keys(words.hashes, at), np.zeros((len(at), 0), _U)))
     return words, found
 
 
@@ -129,6 +162,24 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(batch.column("doc_id"), batch.column("row"), text, starts - words.ptr[text], sizes, key, bands)
 
 
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All windows near the repeated ones (``hits``): they lead to the true ends of what is shared."""
+    for batch in batches:
+        words = words_of(batch.column("text"))
+        near = []
+        for i, hits in enumerate(batch.column("hits").to_pylist()):
+            hits = np.array(hits, np.int64)
+            at = np.unique((hits[:, None] + np.arange(1 - SELECT, SELECT)).ravel())
+            at = at[(at >= 0) & (at + WINDOW <= words.ptr[i + 1] - words.ptr[i])]
+            near.append(np.setdiff1d(at, hits, assume_unique=False))
+        sizes = [len(x) for x in near]
+        text = np.repeat(np.arange(len(near)), sizes)
+        at = np.concatenate(near) if near else np.zeros(0, np.int64)
+        key = _window_keys(words.hashes, at + words.ptr[text])
+        bands = np.zeros((len(at), 0), _U)
+        yield _batch(batch.column("doc_id"), batch.column("row"), text, at, np.full(len(at), WINDOW), key, bands)
+
+
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted lines as texts of their own, each once per document."""
     for batch in batches:
@@ -252,6 +303,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     docs = keep(docs.withColumn("row", F.monotonically_increasing_id()))
     units = keep(docs.mapInArrow(_units, UNITS))
     roots = keep(_near_lines(docs, units))
+    drawn = units.where((F.col("n_words") == WINDOW) & (F.size("bands") == 0)).select("key", "row", "first_word")
+    twice = drawn.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("key")
+    hits = drawn.join(twice, "key").groupBy(F.col("row").alias("want")).agg(F.collect_list("first_word").alias("hits"))
+    found = docs.join(keep(hits), F.col("row") == F.col("want")).select("doc_id", "row", "text", "hits")
+    units = units.union(keep(found.mapInArrow(_around, UNITS)))
     by_key = units.groupBy("key").agg(
         F.min("row").alias("lo"), F.max("row").alias("hi"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "first_word")).alias("first"),

@@ -389,3 +389,20 @@ def test_first_occurrences_stay_next_to_copies(spark, documents):
         (3, 0, 30, 2, True),
         (4, 0, 30, 1, True), (4, 30, 30, 2, True),
     ]
+
+
+def test_shared_stretches_are_found_up_to_their_ends(spark, documents):
+    from tarmac.llm.passages import repeated_passages
+
+    r = random.Random(12)
+
+    def prose(n):
+        return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+    want, texts = set(), []
+    for k, n in enumerate((25, 26, 30, 37, 50, 80, 200)):
+        shared, before, after = prose(n), r.randrange(1, 60), r.randrange(1, 60)
+        texts += [f"{prose(before)} {shared} {prose(9)}", f"{prose(after)} {shared} {prose(40)}"]
+        want |= {(2 * k, before, n, 2 * k, False), (2 * k + 1, after, n, 2 * k, True)}
+    found = repeated_passages(documents(texts)).collect()
+    assert {tuple(x) for x in found} == want
