@@ -1,7 +1,7 @@
 """Personal data in whole texts: fixed patterns, and a linear-chain conditional random field over word shapes.
 
 The patterns give the base spans. The field labels every word of a text (other, email, ip, card, phone); runs of words
-with one label that touch no base span are added as spans. Its features are shapes of the word and of its neighbours, its weights
+with one label are added as spans, without the words that a base span touches. Its features are shapes of the word and of its neighbours, its weights
 are fitted to a small labelled table by maximum likelihood on the driver (the table has at most ``LABELLED_ROWS``
 rows), and texts are decoded by Viterbi in numpy batches.
 
@@ -18,6 +18,7 @@ import hashlib
 import random
 import re
 from collections.abc import Iterator
+from itertools import islice, takewhile
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 AT_WORD = re.compile(r"[(\[]at[)\]]")
+ADDRESS = re.compile(r"(@|[(\[]at[)\]])[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+FOUR_PARTS = re.compile(r"(?<![0-9.])[0-9]{1,3}(\.[0-9]{1,3}){3}(?![0-9.])")
 EDGE = "\"'()[]{}<>,;:!?."
 
 Span = tuple[str, int, int]
@@ -75,7 +78,8 @@ def base_spans(text: str) -> list[Span]:
         spans += [("email", a, b) for a, b in _emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(int(p) <= 255 if len(p) < 5 else p.lstrip("0") == "" or int(p) <= 255 for p in m[0].split(".")):
+            parts = [p.lstrip("0") for p in m[0].split(".")]
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
                 spans.append(("ip", *m.span()))
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
@@ -381,17 +385,40 @@ def find_spans(texts: list[str], field: Field) -> Iterator[tuple[list[Span], lis
         yield base, _added(text, own, base) if own.any() else []
 
 
+def _stands_alone(label: str, piece: str) -> bool:
+    """Whether what base spans leave of a word is personal data by itself."""
+    if label == "email":
+        return bool(ADDRESS.search(piece))
+    return bool(FOUR_PARTS.search(piece)) if label == "ip" else len(DIGIT.findall(piece)) >= 7
+
+
 def _added(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
+    """Runs of words of one label. Words that base spans touch are cut out; a run ends with an email or ip."""
     runs: list[list[int]] = []
+    taken = sorted((a, b) for _, a, b in base)
+    open_ = -2  # word that the last run may go on from
+    next_ = 0
     for i, m in enumerate(WORD.finditer(text)):
-        if labels[i]:
-            if runs and labels[i] == runs[-1][0] and runs[-1][3] == i - 1:
-                runs[-1][2:] = [m.end(), i]
-            else:
-                runs.append([int(labels[i]), m.start(), m.end(), i])
+        if not labels[i]:
+            continue
+        label, (a, b) = int(labels[i]), m.span()
+        while next_ < len(taken) and taken[next_][1] <= a:
+            next_ += 1
+        over = [t for t in takewhile(lambda t: t[0] < b, islice(taken, next_, None)) if t[1] > a]
+        if over:
+            for x, y in [*over, (b, b)]:
+                if a < x and _stands_alone(LABELS[label], text[a:x]):
+                    runs.append([label, a, x])
+                a = max(a, y)
+            continue
+        if runs and label == runs[-1][0] and open_ == i - 1:
+            runs[-1][2] = b
+        else:
+            runs.append([label, a, b])
+        whole = (ADDRESS if label == 1 else FOUR_PARTS).search(text, a, b) if label <= 2 else None
+        open_ = -2 if whole else i
     spans = []
-    taken = sorted((a, b) for _, a, b in base)
-    for label, a, b, _ in runs:
+    for label, a, b in runs:
         while a < b and text[a] in EDGE and not (label == 4 and text[a] == "("):
             a += 1
         while b > a and text[b - 1] in EDGE:
@@ -399,7 +426,7 @@ def _added(text: str, labels: np.ndarray, base: list[Span]) -> list[Span]:
         address = "@" in text[a:b] or AT_WORD.search(text[a:b])
         if LABELS[label] == "email" and not address:
             continue
-        if a < b and not any(a < y and x < b for x, y in taken):
+        if a < b:
             spans.append((LABELS[label], a, b))
     return spans
 

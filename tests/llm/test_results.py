@@ -406,3 +406,15 @@ def test_shared_stretches_are_found_up_to_their_ends(spark, documents):
         want |= {(2 * k, before, n, 2 * k, False), (2 * k + 1, after, n, 2 * k, True)}
     found = repeated_passages(documents(texts)).collect()
     assert {tuple(x) for x in found} == want
+
+
+def test_words_next_to_base_spans_are_kept():
+    field = crf_pii.train(crf_pii.labelled_table())
+    text = "write to john(at)mail.com jane@mail.com bob[at]post.org or call (123) 456-7890 +1 555 123 4567 please"
+    ((base, more),) = crf_pii.find_spans([text], field)
+    found = {text[a:b] for _, a, b in base + more}
+    assert {"john(at)mail.com", "jane@mail.com", "bob[at]post.org", "(123) 456-7890", "+1 555 123 4567"} == found
+    assert crf_pii._added("john(at)a.org,jane@a.org", np.array([1]), [("email", 14, 24)]) == [("email", 0, 13)]
+    assert crf_pii._added("mailto:jane@a.org 10.0.0.1:80", np.array([1, 2]), [("email", 7, 17), ("ip", 18, 26)]) == []
+    assert crf_pii.base_spans("1" * 5000 + ".1.1.1") == []
+    assert crf_pii.base_spans("0" * 5000 + "1.0.255.000001") == [("ip", 0, 5014)]
