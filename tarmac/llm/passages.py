@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.jaccard_join import jaccard_components
-from tarmac.llm.store import keep, release, setup
+from tarmac.llm.store import keep, mark, release, release_since, setup
 from tarmac.llm.words import SHINGLE, mix, text_bytes, windows, words_of
 
 THRESHOLD = 0.8
@@ -168,8 +168,14 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(batch.column("text"))
         near = []
         for i, hits in enumerate(batch.column("hits").to_pylist()):
-            hits = np.array(hits, np.int64)
-            at = np.unique((hits[:, None] + np.arange(1 - SELECT, SELECT)).ravel())
+            pairs = np.array(sorted((h["at"], h["first"]) for h in hits), np.int64)
+            hits, first = pairs[:, 0], pairs[:, 1]
+            # Between windows of one origin that touch there is nothing to add.
+            new = np.ones(len(hits) + 1, bool)
+            new[1:-1] = (np.diff(hits) > SELECT) | (np.diff(first) != 0)
+            down = hits[new[:-1]][:, None] + np.arange(1 - SELECT, 0)
+            up = hits[new[1:]][:, None] + np.arange(1, SELECT)
+            at = np.unique(np.concatenate([down.ravel(), up.ravel()]))
             at = at[(at >= 0) & (at + WINDOW <= words.ptr[i + 1] - words.ptr[i])]
             near.append(np.setdiff1d(at, hits, assume_unique=False))
         sizes = [len(x) for x in near]
@@ -302,12 +308,30 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     # Stored, so that a row has one number wherever it is read.
     docs = keep(docs.withColumn("row", F.monotonically_increasing_id()))
     units = keep(docs.mapInArrow(_units, UNITS))
+    made = mark()
     roots = keep(_near_lines(docs, units))
-    drawn = units.where((F.col("n_words") == WINDOW) & (F.size("bands") == 0)).select("key", "row", "first_word")
-    twice = drawn.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("key")
-    hits = drawn.join(twice, "key").groupBy(F.col("row").alias("want")).agg(F.collect_list("first_word").alias("hits"))
-    found = docs.join(keep(hits), F.col("row") == F.col("want")).select("doc_id", "row", "text", "hits")
-    units = units.union(keep(found.mapInArrow(_around, UNITS)))
+    release_since(made, roots)
+    several = roots.groupBy("root").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("root")
+    roots = keep(roots.join(several, "root").select("key", "root"))
+
+    def twice(units: DataFrame) -> DataFrame:
+        rows = units.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+        return rows.where("lo < hi").select("key")
+
+    # From here on only keys that repeat or belong to similar lines.
+    plain = units.withColumn("window", (F.size("bands") == 0) & (F.col("n_words") == WINDOW)).drop("bands")
+    again = twice(plain).union(roots.select("key")).distinct()
+    some = keep(plain.select("doc_id", "row", "first_word", "n_words", "key", "window").join(again, "key"))
+    release(units)
+    drawn = some.where("window")
+    origin = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
+    origin = drawn.groupBy("key").agg(origin["row"].alias("first"))
+    hits = drawn.select("key", "row", "first_word").join(origin, "key").groupBy(F.col("row").alias("want"))
+    hits = keep(hits.agg(F.collect_list(F.struct(F.col("first_word").alias("at"), "first")).alias("hits")))
+    found = docs.join(hits, F.col("row") == F.col("want")).select("doc_id", "row", "text", "hits")
+    more = keep(found.mapInArrow(_around, UNITS).drop("bands"))
+    columns = ["doc_id", "row", "first_word", "n_words", "key"]
+    units = some.select(columns).union(more.select(columns))
     by_key = units.groupBy("key").agg(
         F.min("row").alias("lo"), F.max("row").alias("hi"),
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "first_word")).alias("first"),

@@ -61,6 +61,19 @@ def release(*tables: DataFrame) -> None:
             _made.remove(entry)
 
 
+def mark() -> int:
+    """How many tables are kept now, for ``release_since``."""
+    return len(_made)
+
+
+def release_since(made: int, *but: DataFrame) -> None:
+    """Delete the tables kept since ``made`` was marked, except those given."""
+    stay = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for table in but for f in table.inputFiles()}
+    for entry in [x for x in _made[made:] if x[1].rsplit("/", 1)[1] not in stay]:
+        _delete(*entry)
+        _made.remove(entry)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
