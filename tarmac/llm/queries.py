@@ -62,7 +62,7 @@ def op10_kneser_ney(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op6_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
-    return spaced_seeds.benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return spaced_seeds.benchmark_overlaps(table(spark, d, "documents"), table(spark, d, "benchmark"), whole=True)
 
 
 @query

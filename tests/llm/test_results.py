@@ -418,3 +418,18 @@ def test_words_next_to_base_spans_are_kept():
     assert crf_pii._added("mailto:jane@a.org 10.0.0.1:80", np.array([1, 2]), [("email", 7, 17), ("ip", 18, 26)]) == []
     assert crf_pii.base_spans("1" * 5000 + ".1.1.1") == []
     assert crf_pii.base_spans("0" * 5000 + "1.0.255.000001") == [("ip", 0, 5014)]
+
+
+def test_items_that_agree_in_four_words_of_five(spark, documents):
+    items = {k: " ".join(f"i{k}x{j}" for j in range(n)) for k, n in enumerate((15, 17, 20, 25, 1, 3, 5))}
+    texts, want = [], set()
+    for k, places in ((0, (6, 9)), (0, (7,)), (1, (3, 12)), (2, (2, 3, 11)), (3, (8, 9, 16)), (4, ()), (5, ()), (6, ()), (5, (1,)), (6, (4,))):
+        w = items[k].split()
+        for p in places:
+            w[p] = "other"
+        if sum(x != "other" for x in w) >= (len(w) if len(w) < 6 else 0.8 * len(w)):
+            want.add((len(texts), k))
+        texts.append(" ".join(["before"] * 9 + w + ["after"] * 9))
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = spaced_seeds.benchmark_overlaps(documents(texts), table, whole=True).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == want and len(want) == 8
