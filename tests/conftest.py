@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import csv
-import json
 import sys
 from pathlib import Path
 
@@ -10,7 +8,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from samples import AIRCRAFT, AIRPORTS, FLIGHTS  # noqa: E402
+from samples import AIRCRAFT, AIRPORTS, FLIGHTS, write_csv, write_json  # noqa: E402
 from tarmac import build_session  # noqa: E402
 
 
@@ -24,20 +22,6 @@ def spark():
     session.stop()
 
 
-def write_csv(folder: Path, name: str, rows: list[dict]) -> None:
-    folder.mkdir(parents=True, exist_ok=True)
-    with (folder / name).open("w", newline="") as out:
-        writer = csv.DictWriter(out, fieldnames=list(rows[0]))
-        writer.writeheader()
-        writer.writerows(rows)
-
-
-def write_json(folder: Path, name: str, rows: list[dict]) -> None:
-    folder.mkdir(parents=True, exist_ok=True)
-    with (folder / name).open("w") as out:
-        out.writelines(json.dumps(row) + "\n" for row in rows)
-
-
 @pytest.fixture
 def feed_root(tmp_path: Path) -> Path:
     """The three sample feeds in both formats."""

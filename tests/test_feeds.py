@@ -3,9 +3,8 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import write_csv, write_json
 from pyspark.sql import functions as F
-from samples import FLIGHTS, flight
+from samples import FLIGHTS, flight, write_csv, write_json
 
 from tarmac.schemas import TABLES, rejected_name
 from tarmac.sinks.monthly import export_monthly

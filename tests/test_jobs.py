@@ -6,9 +6,8 @@ import json
 import shutil
 
 import pytest
-from conftest import write_csv, write_json
 from pyspark.sql import functions as F
-from samples import FLIGHTS, flight
+from samples import FLIGHTS, flight, write_csv, write_json
 
 from tarmac.plans import checks, jobs
 from tarmac.plans.jobs import IngestJob, RefineJob, ReportJob, create_all
