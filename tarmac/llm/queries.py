@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.llm import (
     crf_pii,
+    hard_negatives,
     jaccard_join,
     kneser_ney,
     language_mixture,
@@ -89,3 +90,11 @@ def op8_secret_owners(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op2_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages.repeated_passages(table(spark, d, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, d, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = hard_negatives.ORACLE
