@@ -16,6 +16,7 @@ from tarmac.llm import (
     quartile_digest,
     secret_owners,
     spaced_seeds,
+    spelling_variants,
     tool_links,
     trie_bpe,
 )
@@ -92,6 +93,11 @@ def op2_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages.repeated_passages(table(spark, d, "documents"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, d, "documents"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
     return hard_negatives.mine(table(spark, d, "embeddings"))
