@@ -17,6 +17,7 @@ from tarmac.llm import (
     secret_owners,
     spaced_seeds,
     spelling_variants,
+    token_counts,
     tool_links,
     trie_bpe,
 )
@@ -93,6 +94,11 @@ def op2_passages(spark: SparkSession, d: str) -> DataFrame:
     return passages.repeated_passages(table(spark, d, "documents"))
 
 
+@query
+def op11_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, d, "documents"), tokenizer_path())
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
     return spelling_variants.spelling_variants(table(spark, d, "documents"))
