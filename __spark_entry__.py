@@ -353,32 +353,17 @@ def bronze_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def silver_counts(spark: SparkSession, d: str) -> DataFrame:
-    judged = _judged(spark, d)
-    flights = silver.clean_flights(judged)
-    return checks.layer_counts(
-        {
-            "flight_operations_clean": flights,
-            "flight_operations_quarantine": silver.quarantined_flights(judged),
-            "airports_clean": _airports(spark, d),
-            "aircraft_reference_clean": _aircraft(spark, d),
-            "route_reference": silver.route_reference(flights),
-            "weather_observations_clean": silver.clean_weather(starfeed.raw_weather(spark, d)),
-        }
-    )
+    others = {
+        "airports_clean": _airports(spark, d),
+        "aircraft_reference_clean": _aircraft(spark, d),
+        "weather_observations_clean": silver.clean_weather(starfeed.raw_weather(spark, d)),
+    }
+    return checks.judged_counts(_judged(spark, d)).unionByName(checks.layer_counts(others))
 
 
 @query
 def gold_counts(spark: SparkSession, d: str) -> DataFrame:
-    flights = _flights(spark, d)
-    return checks.layer_counts(
-        {
-            "on_time_performance_daily": gold.on_time_performance(flights),
-            "route_delay_summary": gold.route_delays(flights),
-            "airport_delay_summary": gold.airport_delays(flights),
-            "cancellation_summary": gold.cancellations(flights),
-            "aircraft_performance_summary": gold.aircraft_performance(flights, _aircraft(spark, d)),
-        }
-    )
+    return checks.report_counts(_flights(spark, d))
 
 
 @query

@@ -27,11 +27,29 @@ def flight_counts() -> list[Column]:
     ]
 
 
-def delay_averages() -> list[Column]:
-    """Averages over the flights with a known delay."""
+def delay_states(*sides: str) -> list[Column]:
+    """Sum and number of the known delays: what an average is made of."""
     return [
-        F.avg(f"{side}_delay_minutes").alias(f"avg_{side}_delay_minutes")
-        for side in ("departure", "arrival")
+        agg(f"{side}_delay_minutes").alias(f"{name}_{side}_delay_minutes")
+        for side in sides or ("departure", "arrival")
+        for name, agg in (("sum", F.sum), ("known", F.count))
+    ]
+
+
+def averages_of(*sides: str) -> dict[str, Column]:
+    """Averages from ``delay_states``; NULL where no delay is known."""
+    return {
+        f"avg_{side}_delay_minutes": F.try_divide(
+            F.col(f"sum_{side}_delay_minutes").cast("double"), F.col(f"known_{side}_delay_minutes")
+        )
+        for side in sides or ("departure", "arrival")
+    }
+
+
+def merged(columns: list[str], keys: tuple[str, ...]) -> list[Column]:
+    """Aggregates that merge stored sums, counts and maxima, told apart by name."""
+    return [
+        (F.max(c) if c.startswith("max_") else F.sum(c)).alias(c) for c in columns if c not in keys
     ]
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
+from dataclasses import dataclass
 from typing import Any
 from uuid import uuid4
 
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.operators.align import align, new_fields
-from tarmac.operators.lineage import fill_lineage
-from tarmac.plans import gold, silver
+from tarmac.operators.lineage import fill_lineage, overwrite_lineage
+from tarmac.plans import checks, gold, silver
 from tarmac.sinks.audit import DEFAULT_AUDIT_TABLE, AuditLog
-from tarmac.sinks.lake import Lake, Load
+from tarmac.sinks.lake import Lake, LakeTable, Staged, one_of
 from tarmac.sources.feeds import SOURCE_FILE, FeedSpec, scan
 from tarmac.sources.rescue import PAYLOAD, rejected_records, split_rescued, type_fields
 
@@ -27,6 +28,16 @@ def create_all(spark: SparkSession, root: str) -> Lake:
     return lake
 
 
+@dataclass
+class _Step:
+    """A table to write: how its rows are built and which partitions they replace (None: all)."""
+
+    build: Callable[[], DataFrame]
+    replaced: Collection | None = None
+    batch_id: str | None = None
+    stored: bool = False
+
+
 class _Job:
     pipeline_name = ""
 
@@ -37,41 +48,60 @@ class _Job:
         pipeline_name: str | None = None,
         audit_table: str = DEFAULT_AUDIT_TABLE,
         now: Column | None = None,
+        gated: bool = False,
     ):
         self.lake = lake
         self.spark = lake.spark
         self.pipeline_name = pipeline_name or self.pipeline_name
         self.audit = AuditLog(lake.spark, lake.root, audit_table)
         self.now = F.current_timestamp() if now is None else now
+        self.gated = gated
 
-    def _replace(
+    def _stage(self, name: str, step: _Step) -> Staged:
+        table = self.lake.table(name)
+        schema = table.schema()
+        df = step.build()
+        hidden = [df.schema[k] for k in table.keys if k not in schema.fieldNames() and k in df.columns]
+        wanted = T.StructType([*schema.fields, *hidden])
+        rows = align(df, wanted, skip=(table.definition.key,))
+        return table.stage(rows, rebalance=not step.stored, stored=step.stored)
+
+    def _write(
         self,
-        name: str,
-        build: Callable[[], DataFrame],
+        steps: dict[str, _Step],
         run_id: str,
-        batch_id: str | None = None,
-    ) -> dict[str, Any]:
-        """Recompute a whole table and publish it in one step."""
-        table = self.lake.table(name)
-        before = table.at()
-
-        def undo() -> dict[str, Any]:
-            return {"restored_version": before and table.restore(before.version, run_id)}
+        report: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+    ) -> list[dict[str, Any]]:
+        """Stage and publish each table. A gated job stages all of them first and publishes none unless all checks of
+        ``report`` over the staged rows pass."""
+        staged: dict[str, Staged] = {}
+        results = []
+        try:
+            if self.gated and report:
+                staged = {name: self._stage(name, step) for name, step in steps.items()}
+                with self._stage_log("gate", None, run_id):
+                    checks.gate(report({name: s.rows for name, s in staged.items()}))
+            for name, step in steps.items():
+                with self._stage_log(name.split(".")[1], name, run_id, step.batch_id) as outcome:
+                    if name not in staged:
+                        staged[name] = self._stage(name, step)
+                    removed = self.lake.table(name).publish(staged[name], step.replaced)
+                    outcome.update(rows_written=staged[name].count, rows_removed=removed)
+                results.append({"target_table": name, **outcome})
+        finally:
+            for name, rows in staged.items():
+                self.lake.table(name).discard(rows)
+        return results
 
-        with self.audit.stage(
+    def _stage_log(self, stage: str, target: str | None, run_id: str, batch_id: str | None = None, **more: Any):
+        return self.audit.stage(
             pipeline_name=self.pipeline_name,
-            stage_name=name.split(".")[1],
-            target_table=name,
+            stage_name=stage,
+            target_table=target,
             run_id=run_id,
             batch_id=batch_id,
-            undo=undo,
-        ) as outcome:
-            current = table.current()
-            load = table.stage(align(build(), current.schema, skip=(table.definition.key,)))
-            removed = table.row_count()
-            table.publish(load, replace_all=True, run_id=run_id)
-            outcome.update(rows_written=load.rows, rows_removed=removed)
-        return {"target_table": name, "rows_written": load.rows, "rows_removed": removed}
+            **{"undo": dict, **more},
+        )
 
 
 class IngestJob(_Job):
@@ -93,37 +123,34 @@ class IngestJob(_Job):
         run_id: str | None = None,
         scanned: Callable[[T.StructType], tuple[DataFrame, list[str]]] | None = None,
     ) -> dict[str, Any]:
-        """Load one feed. Rerunning a batch replaces it in the raw and the rejected table.
+        """Load one feed. A batch that comes again replaces its partitions in the raw and the rejected table.
 
         Rows of a feed that names no batch, in a run that gives none, form a batch of their
         own named after the run. ``scanned`` gives the text rows and new fields for the
         current schema; by default the files of the spec are read.
         """
         run_id = run_id or str(uuid4())
-        target = self.lake.table(spec.target_table)
         rejected = self.lake.table(spec.rejected_table) if spec.rejected_table else None
-        versions = target.version(), rejected and rejected.version()
+        undone: list[Callable[[], Any]] = []
 
         def undo() -> dict[str, Any]:
-            restored = target.restore(versions[0], run_id)
-            other = rejected.restore(versions[1], run_id) if rejected else None
-            return {"restored_version": restored, "details": {"restored_rejected_version": other}}
-
-        with self.audit.stage(
-            pipeline_name=self.pipeline_name,
-            stage_name=spec.name,
-            target_table=spec.target_table,
-            run_id=run_id,
-            batch_id=batch_id,
+            back = [step() for step in undone]
+            return {"details": {"restored_rejected_rows": sum(back)}} if back else {}
+
+        with self._stage_log(
+            spec.name,
+            spec.target_table,
+            run_id,
+            batch_id,
             details={"source_path": spec.source_path, "source_format": spec.source_format},
             undo=undo,
         ) as outcome:
-            schema = target.current().schema
+            schema = self.lake.table(spec.target_table).schema()
             texts, fresh = scanned(schema) if scanned else scan(self.spark, spec, schema)
             typed = type_fields(
                 texts, schema, new_columns=fresh, rescued_column=spec.rescued_column
             )
-            result = self._load(spec, typed, batch_id, run_id)
+            result = self._load(spec, typed, rejected, batch_id, run_id, undone)
             outcome.update(
                 rows_written=result["rows_written"],
                 rows_removed=result["rows_removed"],
@@ -136,11 +163,23 @@ class IngestJob(_Job):
             )
         return result
 
+    def _lineage(self, spec: FeedSpec, sound: DataFrame, batch_id: str | None, run_id: str) -> DataFrame:
+        given = {"source_system": spec.source_system, "file_name": F.col(SOURCE_FILE), "now": self.now}
+        if spec.overwrite_metadata:
+            return overwrite_lineage(sound, batch_id=batch_id or run_id, **given)
+        return fill_lineage(sound, batch_id=batch_id, fallback_batch_id=run_id, **given)
+
     def _load(
-        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, run_id: str
+        self,
+        spec: FeedSpec,
+        typed: DataFrame,
+        rejected: LakeTable | None,
+        batch_id: str | None,
+        run_id: str,
+        undone: list[Callable[[], Any]],
     ) -> dict[str, Any]:
         target = self.lake.table(spec.target_table)
-        captures = spec.capture_rescued and spec.rejected_table is not None
+        captures = spec.capture_rescued and rejected is not None
         # One pass over the source writes the sound rows and sees whether any row was rescued;
         # only then is the source read a second time, for those rows.
         seen = Observation()
@@ -149,44 +188,58 @@ class IngestJob(_Job):
             sound, _ = split_rescued(watched, spec.rescued_column)
         else:
             sound = watched.drop(spec.rescued_column)
-        filled = fill_lineage(
-            sound.drop(PAYLOAD),
-            source_system=spec.source_system,
-            file_name=F.col(SOURCE_FILE),
-            batch_id=batch_id,
-            fallback_batch_id=run_id,
-            now=self.now,
-        ).drop(SOURCE_FILE)
+        filled = self._lineage(spec, sound.drop(PAYLOAD), batch_id, run_id).drop(SOURCE_FILE)
 
-        schema = target.current().schema
+        schema = target.schema()
         added = []
         if spec.allow_schema_evolution:
             added = new_fields(filled, schema, protected=("_metadata", spec.rescued_column))
             schema = T.StructType([*schema.fields, *added])
-        load = target.stage(align(filled, schema, lenient=True), rebalance=False)
-        rescued = None
-        if captures and seen.get["n"]:
-            # A row that cannot say which batch it belongs to goes with the only one there is.
-            home = load.batches[0] if len(load.batches) == 1 else run_id
-            rescued = self._stage_rejected(spec, typed, batch_id, home)
-
-        overwrite = spec.write_mode == "overwrite"
-        removed = target.row_count() if overwrite else target.rows_in(load.batches)
-        if captures:
-            self._publish_rejected(spec, rescued, load, overwrite, run_id)
-        target.publish(load, replace_all=overwrite, schema=schema, run_id=run_id)
+        rows = align(filled, schema, lenient=True)
+        rows = rows.withColumns({c: F.expr(sql) for c, sql in target.definition.derived})
+        load, rescued, image = target.stage(rows, rebalance=False), None, None
+        try:
+            if captures and seen.get["n"]:
+                # A row that cannot say which batch it belongs to goes with the only one there is.
+                home = load.values[0] if len(load.values) == 1 else run_id
+                misfits = self._rejected_rows(spec, typed, batch_id, home)
+                rescued = rejected.stage(align(misfits, rejected.schema()))
+            # The batches of this run, also where nothing of them is left.
+            named = {*load.values, *(rescued.values if rescued else ()), *([batch_id] if batch_id else ())}
+            replaced = None if spec.write_mode == "overwrite" else named
+            if captures:
+                image = rejected.stage(rejected.read(None if replaced is None else one_of(F.col("batch_id"), named)))
+
+                def put_back() -> int:
+                    rejected.publish(image, replaced)
+                    return image.count
+
+                undone.append(put_back)
+                rejected.publish(rescued, replaced)
+            target.grow(schema)
+            removed = target.publish(load, replaced)
+        except Exception:
+            if undone:  # the image is still needed
+                back = undone.pop()()
+                undone.append(lambda: back)
+            raise
+        finally:
+            target.discard(load)
+            if rejected:
+                rejected.discard(rescued)
+                rejected.discard(image)
         return {
             "dataset": spec.name,
             "source_path": spec.source_path,
             "source_format": spec.source_format,
             "target_table": spec.target_table,
-            "rows_written": load.rows,
+            "rows_written": load.count,
             "rows_removed": removed,
-            "rows_rescued": rescued.rows if rescued else 0,
+            "rows_rescued": rescued.count if rescued else 0,
             "rejected_table": spec.rejected_table,
             "write_mode": spec.write_mode,
             "evolved_columns": [f.name for f in added],
-            "batch_ids": list(load.batches),
+            "batch_ids": list(load.values),
         }
 
     def _rejected_rows(
@@ -206,100 +259,156 @@ class IngestJob(_Job):
             now=self.now,
         )
 
-    def _stage_rejected(
-        self, spec: FeedSpec, typed: DataFrame, batch_id: str | None, home: str
-    ) -> Load:
-        table = self.lake.table(spec.rejected_table)
-        rows = self._rejected_rows(spec, typed, batch_id, home)
-        return table.stage(align(rows, table.current().schema))
-
-    def _publish_rejected(
-        self, spec: FeedSpec, rescued: Load | None, load: Load, overwrite: bool, run_id: str
-    ) -> None:
-        """Replace the rejected rows of every batch this run delivers, also by nothing."""
-        table = self.lake.table(spec.rejected_table)
-        batches = set(load.batches) | set(rescued.batches if rescued else ())
-        stale = overwrite or any(set(x.batches) & batches for x in table.current().loads)
-        if rescued or stale:
-            table.publish(rescued, replace_all=overwrite, batches=batches, run_id=run_id)
-
 
 class RefineJob(_Job):
-    """Raw tables to cleaned ones. Cleaned tables are recomputed from all raw rows."""
+    """Raw tables to cleaned ones.
+
+    Given batches, only the months of flights and the days of weather that those batches touch, now or by rows they had
+    before, are cleaned again, from the raw rows of all batches; partitions of other months and days stay as they
+    are. A batch whose rows were all superseded or withdrawn so leaves the cleaned tables.
+    """
 
     pipeline_name = "silver_transformation"
+    flights = "bronze.flight_operations_raw"
 
-    def run(self, *, run_id: str | None = None) -> list[dict[str, Any]]:
-        """Rebuild the six cleaned tables, flights and what hangs on them last."""
+    def run(
+        self, *, batches: Collection[str] | None = None, run_id: str | None = None
+    ) -> list[dict[str, Any]]:
+        """Write the cleaned tables, flights and what hangs on them last; ``batches``: only what these touch."""
         run_id = run_id or str(uuid4())
+        judged, steps = None, {}
+        try:
+            months = None if batches is None else self.touched_months(batches)
+            judged = self._judge(months)
+            steps = {**self._reference_steps(batches), **self._flight_steps(judged.rows, months, batches)}
+            return self._write(steps, run_id, lambda rows: self.gate_report(judged.rows, rows))
+        finally:
+            self.lake.table("silver.flight_operations_clean").discard(judged)
+
+    def _first_batch(self, source: str, batches: Collection[str] | None) -> str | None:
+        if batches is not None:
+            return min(batches, default=None)
+        return self.lake.read(source).agg(F.min("batch_id")).first()[0]
+
+    def touched_months(self, batches: Collection[str]) -> set:
+        """Months in which the batches have raw flights now or had cleaned ones; at most one value per partition."""
+        mine = one_of(F.col("batch_id"), batches)
+        raw = self.lake.read(self.flights).filter(mine).select("year_month").distinct()
+        months = {row[0] for row in raw.collect()}
+        for name in ("silver.flight_operations_clean", "silver.flight_operations_quarantine"):
+            months |= self.lake.table(name).slots_of(mine)
+        return months
+
+    def raw_flights(self, months: Collection | None) -> DataFrame:
+        """Raw flights of all batches in the given months; other partitions are not read."""
+        raw = self.lake.read(self.flights)
+        return raw if months is None else raw.filter(one_of(F.col("year_month"), months))
+
+    def _judge(self, months: Collection | None) -> Staged:
+        """De-duplicated, judged flights, computed once per run and kept as a written table.
+
+        The written table cuts the lineage: a lost executor costs a re-read, not another
+        de-duplication.
+        """
+        judged = silver.judge_flights(self.raw_flights(months))
+        table = self.lake.table("silver.flight_operations_clean")
+        return table.stage_as_is(judged.hint("rebalance", *table.keys))
+
+    def _reference_steps(self, batches: Collection[str] | None) -> dict[str, _Step]:
         read = self.lake.read
-        airports, aircraft, weather, flights = (
+        airports, aircraft, weather = (
             "bronze.airports_raw",
             "bronze.aircraft_reference_raw",
             "bronze.weather_metar_raw",
-            "bronze.flight_operations_raw",
         )
-        builds = {
-            "silver.airports_clean": (airports, lambda: silver.clean_airports(read(airports))),
-            "silver.aircraft_reference_clean": (
-                aircraft,
-                lambda: silver.clean_aircraft(read(aircraft)),
+        steps = {
+            "silver.airports_clean": _Step(
+                lambda: silver.clean_airports(read(airports)), None, self._first_batch(airports, batches)
             ),
-            "silver.weather_observations_clean": (
-                weather,
-                lambda: silver.clean_weather(read(weather)),
-            ),
-            "silver.flight_operations_clean": (
-                flights,
-                lambda: silver.clean_flights(self._judge(read(flights))),
-            ),
-            "silver.flight_operations_quarantine": (
-                flights,
-                lambda: silver.quarantined_flights(self._judged),
-            ),
-            "silver.route_reference": (
-                flights,
-                lambda: silver.route_reference(read("silver.flight_operations_clean")),
+            "silver.aircraft_reference_clean": _Step(
+                lambda: silver.clean_aircraft(read(aircraft)), None, self._first_batch(aircraft, batches)
             ),
         }
-        results = []
-        for name, (source, build) in builds.items():
-            first_batch = next(iter(self.lake.table(source).live_batches()), None)
-            results.append(self._replace(name, build, run_id, first_batch))
-        return results
+        days, table = None, self.lake.table("silver.weather_observations_clean")
+        if batches is not None:
+            mine = one_of(F.col("batch_id"), batches)
+            found = read(weather).filter(mine).select("observation_date").distinct().collect()
+            days = {row[0] for row in found} | table.slots_of(mine)
+
+        def observations() -> DataFrame:
+            raw = read(weather)
+            return raw if days is None else raw.filter(one_of(F.col("observation_date"), days))
+
+        steps["silver.weather_observations_clean"] = _Step(
+            lambda: silver.clean_weather(observations()), days, self._first_batch(weather, batches)
+        )
+        return steps
 
-    def _judge(self, raw: DataFrame) -> DataFrame:
-        """De-duplicated, judged flights, computed once per run and kept as a written table.
+    def _flight_steps(
+        self, judged: DataFrame, months: Collection | None, batches: Collection[str] | None
+    ) -> dict[str, _Step]:
+        first = self._first_batch(self.flights, batches)
+        clean = silver.clean_flights(judged)
 
-        The written table cuts the lineage: a lost executor costs a re-read, not another
-        de-duplication.
-        """
-        folder = self.lake.scratch("judged_flights")
-        judged = silver.judge_flights(raw)
-        spread = judged.hint("rebalance", "year_month")
-        spread.write.mode("overwrite").partitionBy("year_month").parquet(folder)
-        self._judged = self.spark.read.schema(judged.schema).parquet(folder)
-        return self._judged
+        def routes() -> DataFrame:
+            fresh = silver.route_months(clean)
+            if months is None:
+                return silver.merge_routes(fresh)
+            others = self.lake.read("state.route_months").filter(~F.coalesce(one_of(F.col("year_month"), months), F.lit(False)))
+            return silver.merge_routes(others.unionByName(fresh))
+
+        return {
+            "silver.flight_operations_clean": _Step(lambda: clean, months, first, stored=True),
+            "silver.flight_operations_quarantine": _Step(
+                lambda: silver.quarantined_flights(judged, "year_month"), months, first, stored=True
+            ),
+            "silver.route_reference": _Step(routes, None, first),
+            "state.route_months": _Step(lambda: silver.route_months(clean), months, first),
+        }
+
+    def gate_report(self, judged: DataFrame, staged: dict[str, DataFrame]) -> DataFrame:
+        """What must hold before anything is published."""
+        return checks.silver_gate(
+            judged,
+            staged["silver.flight_operations_clean"],
+            staged["silver.flight_operations_quarantine"],
+        )
 
 
 class ReportJob(_Job):
-    """Cleaned flights to the reporting tables, each from one scan."""
+    """Cleaned flights to the reporting tables, each from one scan.
+
+    Given months, only the days of those months are reported again; the monthly punctuality comes from stored daily
+    states and needs no flights.
+    """
 
     pipeline_name = "gold_transformation"
 
-    def run(self, *, run_id: str | None = None) -> list[dict[str, Any]]:
+    def run(
+        self, *, months: Collection | None = None, run_id: str | None = None
+    ) -> list[dict[str, Any]]:
         run_id = run_id or str(uuid4())
-
-        def flights() -> DataFrame:
-            return self.lake.read("silver.flight_operations_clean")
-
-        builds = {
-            "gold.on_time_performance_daily": lambda: gold.on_time_performance(flights(), self.now),
-            "gold.route_delay_summary": lambda: gold.route_delays(flights(), self.now),
-            "gold.airport_delay_summary": lambda: gold.airport_delays(flights(), self.now),
-            "gold.cancellation_summary": lambda: gold.cancellations(flights(), self.now),
+        flights = self.lake.read("silver.flight_operations_clean")
+        if months is not None:
+            flights = flights.filter(one_of(F.col("year_month"), months))
+        aircraft = self.lake.read("silver.aircraft_reference_clean")
+        tables = {
+            "gold.on_time_performance_daily": lambda: gold.on_time_performance(flights, self.now),
+            "gold.route_delay_summary": lambda: gold.route_delays(flights, self.now),
+            "gold.airport_delay_summary": lambda: gold.airport_delays(flights, self.now),
+            "gold.cancellation_summary": lambda: gold.cancellations(flights, self.now),
             "gold.aircraft_performance_summary": lambda: gold.aircraft_performance(
-                flights(), self.lake.read("silver.aircraft_reference_clean"), self.now
+                flights, aircraft, self.now
             ),
+            "state.on_time_daily": lambda: gold.REPORTS["gold.on_time_performance_daily"].state(flights),
         }
-        return [self._replace(name, build, run_id) for name, build in builds.items()]
+        steps = {name: _Step(build, self._days(name, months)) for name, build in tables.items()}
+        return self._write(steps, run_id, lambda rows: checks.gold_gate(flights, rows))
+
+    def _days(self, name: str, months: Collection | None) -> Collection | None:
+        if months is None:
+            return None
+        return self.lake.table(name).slots_of(one_of(F.date_format("flight_date", "yyyy-MM"), months))
+
+    def monthly_punctuality(self) -> DataFrame:
+        return gold.monthly_punctuality(self.lake.read("state.on_time_daily"))

@@ -80,6 +80,6 @@ def lake_tables(lake: Lake, *, source_rank: int = 0, catalog: str = "lake") -> D
     rows = [
         (catalog, *name.split("."), "MANAGED", source_rank)
         for name in TABLES
-        if lake.table(name).at() is not None
+        if lake.table(name).exists()
     ]
     return lake.spark.createDataFrame(rows, _LISTING)

@@ -113,22 +113,36 @@ def clean_flights(judged: DataFrame) -> DataFrame:
     ).select(_columns_of("silver.flight_operations_clean"))
 
 
-def quarantined_flights(judged: DataFrame) -> DataFrame:
-    """Flights that broke a rule, with the reason and the raw payload."""
+def quarantined_flights(judged: DataFrame, *further: str) -> DataFrame:
+    """Flights that broke a rule, with the reason and the raw payload (and ``further`` columns)."""
     _, broken = split_on(judged)
     return broken.withColumn("raw_flight_date", F.col("flight_date").cast("string")).select(
-        _columns_of("silver.flight_operations_quarantine")
+        *_columns_of("silver.flight_operations_quarantine"), *further
     )
 
 
-def route_reference(flights: DataFrame) -> DataFrame:
-    """One row per route seen in the cleaned flights."""
+ROUTE = ("origin_airport", "dest_airport", "route_code")
+
+
+def route_months(flights: DataFrame) -> DataFrame:
+    """What is known of each route per month; rows of several months can be merged."""
+    return flights.groupBy(*ROUTE, "year_month").agg(
+        F.min("flight_date").alias("first_seen_flight_date"),
+        F.max("flight_date").alias("last_seen_flight_date"),
+        F.count(F.lit(1)).alias("total_record_count"),
+        F.max("ingestion_timestamp").alias("ingestion_timestamp"),
+        F.max("batch_id").alias("batch_id"),
+    )
+
+
+def merge_routes(months: DataFrame) -> DataFrame:
+    """One row per route from rows of ``route_months``."""
     return (
-        flights.groupBy("origin_airport", "dest_airport", "route_code")
+        months.groupBy(*ROUTE)
         .agg(
-            F.min("flight_date").alias("first_seen_flight_date"),
-            F.max("flight_date").alias("last_seen_flight_date"),
-            F.count(F.lit(1)).alias("total_record_count"),
+            F.min("first_seen_flight_date").alias("first_seen_flight_date"),
+            F.max("last_seen_flight_date").alias("last_seen_flight_date"),
+            F.sum("total_record_count").alias("total_record_count"),
             F.max("ingestion_timestamp").alias("ingestion_timestamp"),
             F.max("batch_id").alias("batch_id"),
         )
@@ -137,6 +151,46 @@ def route_reference(flights: DataFrame) -> DataFrame:
     )
 
 
+def route_reference(flights: DataFrame) -> DataFrame:
+    """One row per route seen in the cleaned flights."""
+    return merge_routes(route_months(flights.withColumn("year_month", F.lit(None).cast("string"))))
+
+
+# ---- single batches ------------------------------------------------------------------------
+
+
+def retracted_flights(before: DataFrame, judged: DataFrame) -> DataFrame:
+    """Flights of the cleaned table ``before`` that are not the record of their key any more.
+
+    ``judged`` holds every key that may have changed, judged anew over all batches. A flight goes when its key is
+    gone, when another record won, or when the record no longer passes the rules; so a batch that lost all its rows
+    leaves the table. ``before`` is given as far as it belongs to those keys.
+    """
+    sound, _ = split_on(judged)
+    same = [*FLIGHT_KEY, "record_hash", "batch_id", "ingestion_timestamp"]
+    condition = [F.col(f"b.{c}").eqNullSafe(F.col(f"j.{c}")) for c in same]
+    return before.alias("b").join(sound.select(*same).alias("j"), condition, "left_anti")
+
+
+def restated_flights(
+    before: DataFrame, raw: DataFrame, batches: DataFrame, rules: Iterable[Rule] = FLIGHT_RULES
+) -> DataFrame:
+    """The cleaned table after ``batches`` (column batch_id) came or changed, from the table ``before``.
+
+    Only months that those batches touch, now or before, are judged again, over the rows of all batches;
+    the rows of other months stay as they are.
+    """
+    month = F.date_format(F.col("flight_date").cast("date"), "yyyy-MM")
+    named = batches.select("batch_id").distinct()
+    now = raw.select("batch_id", month.alias("touched")).distinct().join(named, "batch_id", "left_semi")
+    old = before.select("batch_id", F.col("year_month").alias("touched")).distinct()
+    old = old.join(named, "batch_id", "left_semi")
+    touched = now.unionByName(old).select("touched").distinct()
+    again = raw.join(touched, month.eqNullSafe(F.col("touched")), "left_semi")
+    kept = before.join(touched, F.col("year_month").eqNullSafe(F.col("touched")), "left_anti")
+    return kept.unionByName(clean_flights(judge_flights(again, rules)))
+
+
 def _upper(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.upper(n) for n in names})
 

@@ -17,8 +17,11 @@ class TableDef:
 
     name: str
     columns: str
+    # May name columns that exist in the files only; they are not part of the table.
     partition_by: tuple[str, ...] = ()
     key: str | None = None
+    # SQL for partition columns that must agree with another column, whatever a feed says.
+    derived: tuple[tuple[str, str], ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -62,6 +65,7 @@ _DEFS = [
         record_hash STRING, year_month STRING
         """,
         ("batch_id", "year_month"),
+        derived=(("year_month", "date_format(flight_date, 'yyyy-MM')"),),
     ),
     TableDef(
         "bronze.airports_raw",
@@ -96,6 +100,7 @@ _DEFS = [
         record_hash STRING, observation_date DATE
         """,
         ("batch_id", "observation_date"),
+        derived=(("observation_date", "cast(observation_time as date)"),),
     ),
     TableDef("bronze.flight_operations_rejected", REJECTED_COLUMNS, ("batch_id",)),
     TableDef("bronze.airports_rejected", REJECTED_COLUMNS, ("batch_id",)),
@@ -171,7 +176,8 @@ _DEFS = [
         quality_issue_reason STRING, raw_record STRING, source_file_name STRING,
         ingestion_timestamp TIMESTAMP, batch_id STRING, record_hash STRING
         """,
-        key="quarantine_key",
+        ("year_month",),
+        "quarantine_key",
     ),
     # ---- gold: reporting aggregates --------------------------------------------------------
     TableDef(
@@ -236,6 +242,31 @@ _DEFS = [
         """,
         ("flight_date",),
     ),
+    # ---- state: sums, counts and extremes behind the reports, which can be merged ----------
+    TableDef(
+        "state.route_months",
+        """
+        origin_airport STRING, dest_airport STRING, route_code STRING,
+        first_seen_flight_date DATE, last_seen_flight_date DATE, total_record_count BIGINT,
+        ingestion_timestamp TIMESTAMP, batch_id STRING, year_month STRING
+        """,
+        ("year_month",),
+    ),
+    TableDef(
+        "state.on_time_daily",
+        """
+        flight_date DATE, reporting_airline STRING, total_flights BIGINT,
+        completed_flights BIGINT, cancelled_flights BIGINT, diverted_flights BIGINT,
+        delayed_departure_flights BIGINT, delayed_arrival_flights BIGINT,
+        on_time_departure_flights BIGINT, on_time_arrival_flights BIGINT,
+        sum_departure_delay_minutes BIGINT, known_departure_delay_minutes BIGINT,
+        sum_arrival_delay_minutes BIGINT, known_arrival_delay_minutes BIGINT,
+        total_weather_delay_minutes BIGINT, total_carrier_delay_minutes BIGINT,
+        total_nas_delay_minutes BIGINT, total_security_delay_minutes BIGINT,
+        total_late_aircraft_delay_minutes BIGINT
+        """,
+        ("flight_date",),
+    ),
 ]
 
 TABLES: dict[str, TableDef] = {d.name: d for d in _DEFS}

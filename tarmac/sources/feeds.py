@@ -41,6 +41,8 @@ class FeedSpec:
     rejected_table: str | None = None
     rescued_column: str = RESCUED_COLUMN
     capture_rescued: bool = True
+    # Lineage columns are set by the load, whatever the feed says.
+    overwrite_metadata: bool = False
 
 
 def normalize_format(source_format: str) -> str:
