@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.schemas import AUDIT
 from tarmac.sinks.lake import path_missing
@@ -24,7 +25,8 @@ class AuditLog:
 
     def create(self) -> None:
         if self.read() is None:
-            self.spark.createDataFrame([], AUDIT.schema).write.mode("append").parquet(self.path)
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in AUDIT.schema]
+            self.spark.range(0).select(nothing).write.mode("append").parquet(self.path)
 
     def read(self) -> DataFrame | None:
         """All events, or None when there is no audit table."""
@@ -47,9 +49,9 @@ class AuditLog:
         unknown = set(event) - set(AUDIT.schema.fieldNames())
         if unknown:
             raise TypeError(f"not in the run log: {sorted(unknown)}")
-        row = tuple(event.get(name) for name in AUDIT.schema.fieldNames())
-        events = self.spark.createDataFrame([row], AUDIT.schema).coalesce(1)
-        events.write.mode("append").parquet(self.path)
+        one = self.spark.range(0, 1, 1, 1)
+        row = one.select([F.lit(event.get(f.name)).cast(f.dataType).alias(f.name) for f in AUDIT.schema])
+        row.write.mode("append").parquet(self.path)
 
     @contextmanager
     def stage(

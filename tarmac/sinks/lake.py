@@ -89,7 +89,8 @@ class LakeTable:
 
     def _note(self, fields: Collection[T.StructField], after: int) -> None:
         lines = [json.dumps([after + i, f.name, f.dataType.simpleString()]) for i, f in enumerate(fields)]
-        rows = self.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+        text = F.array(*map(F.lit, lines)).cast("array<string>")
+        rows = self.spark.range(0, 1, 1, 1).select(F.explode(text).alias("value"))
         rows.write.mode("append").text(f"{self.path}/_columns")
         self._known = None
 
