@@ -26,6 +26,7 @@ other than doc_id and text are ignored; an empty table gives no rows. The tokeni
 from __future__ import annotations
 
 import os
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -44,6 +45,10 @@ MARGIN = 16
 LONGEST_CONTRACTION = 3
 # Texts that the library encodes at once: bounds its memory.
 AT_ONCE = 64
+# Remembered stretches of a task: code points in all (an entry weighs as much as ENTRY of them), and of one.
+REMEMBERED = 1 << 25
+ENTRY, LONGEST_REMEMBERED = 100, 64
+SEPARATORS, WHITE = regex.compile("[\x1c-\x1f]"), regex.compile("\\s+", regex.V0)
 # What may combine with a character before it: marks, Hangul vowels and finals, Kirat Rai vowels.
 STARTS = regex.compile("[^\\p{M}ᅠ-ᇿힰ-퟿\U00016d63-\U00016d6a]")
 
@@ -106,19 +111,29 @@ PIECES = "row long, piece long, begin long, head_end long, tail_begin long, text
 ENCODED = "row long, piece long, n long, begin long, end long, head binary, tail binary"
 
 
-def _tokens(encoding, begin: int) -> np.ndarray:
-    """Per token: id, start, end, start of its word, whether it ends its word and its last character."""
-    ids = np.array(encoding.ids, np.int64)
-    spans = np.array(encoding.offsets, np.int64).reshape(-1, 2) + begin
-    words = np.array([-1 if w is None else w for w in encoding.word_ids], np.int64)
-    fresh = np.ones(len(ids), bool)
-    fresh[1:] = words[1:] != words[:-1]
-    word_start = spans[np.flatnonzero(fresh)[np.cumsum(fresh) - 1], 0] if len(ids) else ids
-    last = np.ones(len(ids), bool)
-    last[:-1] = fresh[1:]
-    whole = np.ones(len(ids), bool)
-    whole[:-1] = spans[1:, 0] >= spans[:-1, 1]
-    return np.column_stack([ids, spans, word_start, last, whole])
+def _tokens(encoding, begin: int, low: int, high: int | None) -> np.ndarray:
+    """The tokens that end after ``low`` and, with ``high``, start before it.
+
+    Per token: id, start, end, start of its word, whether it ends its word and whether it ends its last character.
+    """
+    ids, spans, words = encoding.ids, encoding.offsets, encoding.word_ids
+    n = len(ids)
+    first = bisect_right(spans, low - begin, key=lambda s: s[1])
+    end = n if high is None else bisect_left(spans, high - begin, key=lambda s: s[0])
+    if first >= end:
+        return np.zeros((0, 6), np.int64)
+    start = first  # where the word of the token at hand begins
+    while start and words[start - 1] == words[first]:
+        start -= 1
+    rows = []
+    for i in range(first, end):
+        if words[i] != words[start]:
+            start = i
+        a, b = spans[i]
+        last = i + 1 == n or words[i + 1] != words[i]
+        whole = i + 1 == n or spans[i + 1][0] >= b
+        rows.append((ids[i], a + begin, b + begin, spans[start][0] + begin, last, whole))
+    return np.array(rows, np.int64)
 
 
 def _encode(path: str):
@@ -131,11 +146,10 @@ def _encode(path: str):
                 for row, encoding in zip(
                     rows, library.encode_batch([r["text"] for r in rows], add_special_tokens=False), strict=True
                 ):
-                    tokens = _tokens(encoding, row["begin"])
-                    n.append(len(tokens))
-                    heads.append(tokens[tokens[:, 1] < row["head_end"]].tobytes() if row["piece"] else b"")
-                    is_last = row["tail_begin"] is None
-                    tails.append(b"" if is_last else tokens[tokens[:, 2] > row["tail_begin"]].tobytes())
+                    begin, tail = row["begin"], row["tail_begin"]
+                    n.append(len(encoding))
+                    heads.append(_tokens(encoding, begin, begin, row["head_end"]).tobytes() if row["piece"] else b"")
+                    tails.append(b"" if tail is None else _tokens(encoding, begin, tail, None).tobytes())
                 ends = [r["begin"] + len(r["text"]) for r in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -203,14 +217,47 @@ def _spliced(pending: DataFrame, path: str, chunk: int, overlap: int) -> DataFra
     return keep(total.select("row", F.when(~F.col("open"), F.col("n")).alias("n_tokens")))
 
 
+class Counter:
+    """Tokens of whole texts, counted stretch by stretch: white space is a boundary in any context.
+
+    Counts of short stretches are remembered, up to ``REMEMBERED`` code points of them.
+    """
+
+    def __init__(self, path: str):
+        self.library = _library(path)
+        self.known: dict[str, int] = {}
+        self.size = 0
+
+    @staticmethod
+    def stretches(text: str) -> list[str]:
+        # Python splits at four separators that the tokenizer does not count as white space.
+        return WHITE.split(text) if SEPARATORS.search(text) else text.split()
+
+    def _encode(self, stretches: list[str]) -> list[int]:
+        return list(map(len, self.library.encode_batch_fast(stretches, add_special_tokens=False)))
+
+    def count(self, texts: list[str]) -> list[int]:
+        parts = [self.stretches(t) for t in texts]
+        fresh = [w for w in {w for p in parts for w in p} if w not in self.known]
+        found = dict(zip(fresh, self._encode(fresh), strict=True)) if fresh else {}
+        counts = [sum([self.known[w] if w in self.known else found[w] for w in p]) for p in parts]
+        if self.size > REMEMBERED:
+            self.known.clear()
+            self.size = 0
+        for w, n in found.items():
+            if len(w) <= LONGEST_REMEMBERED:
+                self.known[w] = n
+                self.size += len(w) + ENTRY
+        return counts
+
+
 def _whole(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _library(path)
+        counter = Counter(path)  # goes with the task
         for batch in batches:
             n: list[int] = []
             for low in range(0, batch.num_rows, AT_ONCE):
-                texts = [t or "" for t in batch.column("text").slice(low, AT_ONCE).to_pylist()]
-                n += map(len, library.encode_batch_fast(texts, add_special_tokens=False))
+                n += counter.count([t or "" for t in batch.column("text").slice(low, AT_ONCE).to_pylist()])
             columns = [batch.column("doc_id"), batch.column("n_bytes"), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens"])
 

@@ -27,11 +27,11 @@ def n_tokens(library, text):
 def spliced(library, text, chunk, overlap):
     """Tokens of one text by chunks, None where some pair is not proven."""
     places = tc.cuts(text, chunk, overlap)
-    parts = [tc._tokens(library.encode(text[b:e], add_special_tokens=False), b) for b, e in places]
+    parts = [library.encode(text[b:e], add_special_tokens=False) for b, e in places]
     total = sum(map(len, parts))
     for k in range(1, len(parts)):
-        tail = parts[k - 1][parts[k - 1][:, 2] > places[k][0]]
-        head = parts[k][parts[k][:, 1] < places[k - 1][1]]
+        tail = tc._tokens(parts[k - 1], places[k - 1][0], places[k][0], None)
+        head = tc._tokens(parts[k], places[k][0], places[k][0], places[k - 1][1])
         doubled = tc.doubled_tokens(tail, head, places[k - 1][1], places[k][0])
         if doubled is None:
             return None
@@ -60,6 +60,15 @@ def test_splices_are_right_wherever_they_are_proven(library):
     assert proven > 1500
 
 
+def test_stretches_count_like_whole_texts(library):
+    rng = random.Random(8)
+    odd = [*PARTS, "a\x1cb\x1fc", "\x1c\x1d", "x\x85y", "p\u2028q\u3000r", "\u200bz", "\x0b\x0c\r", "\ufeffk", " \u0301e"]
+    counter = tc.Counter(tokenizer_path())
+    for _ in range(1500):
+        text = "".join(rng.choice(odd) for _ in range(rng.randrange(1, 25)))
+        assert counter.count([text]) == [n_tokens(library, text)], text
+
+
 def test_chunks_cover_the_text_and_overlap():
     rng = random.Random(5)
     for _ in range(300):
