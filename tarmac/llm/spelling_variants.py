@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import keep, release, setup
+from tarmac.llm.store import keep, mark, release_since, setup
 
 RUN = "[A-Za-zÀ-ÿ]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -193,21 +193,18 @@ def near_words(words: DataFrame) -> DataFrame:
         "length", "by_suffix", "left", "right"
     )
     tiles = within.unionByName(across).repartition(F.xxhash64("length", "by_suffix", "left.word"))
-    found = keep(tiles.mapInArrow(_tiles, TILE))
+    found = tiles.mapInArrow(_tiles, TILE)
     best = F.min(F.struct((-F.col("other_n")).alias("minus_n"), F.col("other").alias("word")))
     near = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best"))
-    near = keep(near.select("word", "n_near", F.col("best.word").alias("other"), (-F.col("best.minus_n")).alias("other_n")))
-    release(sizes, held, found)
-    return near
+    return near.select("word", "n_near", F.col("best.word").alias("other"), (-F.col("best.minus_n")).alias("other_n"))
 
 
 def last_forms(links: DataFrame) -> DataFrame:
-    """Rows (word, root) for links (word, form) without circles: every round doubles the way followed."""
-    roots = keep(links.select("word", F.col("form").alias("root")))
+    """Rows (word, root) for stored links (word, form) without circles: every round doubles the way followed."""
+    roots = links.select("word", F.col("form").alias("root"))
     while True:
         onward = roots.select(F.col("word").alias("root"), F.col("root").alias("next"))
         further = keep(roots.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next"))
-        release(roots)
         if further.where("next IS NOT NULL").isEmpty():
             return further.select("word", "root")
         roots = further.drop("next")
@@ -222,6 +219,7 @@ def spelling_variants(
     forms.
     """
     setup(docs.sparkSession)
+    made = mark()
     words = keep(frequent_words(altered_words(docs, every), least_length, least))
     near = near_words(words)
     is_form = F.col("other_n") >= times * F.col("n")
@@ -234,7 +232,7 @@ def spelling_variants(
             F.when(is_form, F.col("other_n")).alias("form_n"),
         )
     )
-    release(words, near)
+    release_since(made, linked)
     roots = last_forms(linked.where("form IS NOT NULL").select("word", "form"))
     whole = linked.join(roots, "word", "left")
     return whole.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
