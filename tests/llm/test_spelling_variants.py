@@ -69,7 +69,7 @@ def test_many_alike_words_in_blocks_of_any_size(spark, documents, monkeypatch, b
     words = {"".join(rng.choice("abé") for _ in range(rng.choice([4, 5, 5, 6]))) for _ in range(300)}
     words |= {"a" * k for k in range(1, 12)} | {"ababab" + c for c in "abcdef"}
     bag = [w for w in sorted(words) for _ in range(rng.choice([1, 2, 2, 10, 12, 60]))]
-    bag += ["bbbbbbbb"] * 250 + ["bbbbbbbé"] * 40 + ["bbbbbbéé"] * 6
+    bag += ["bbbbbbbb"] * 1500 + ["bbbbbbbé"] * 120 + ["bbbbbbéé"] * 6
     rng.shuffle(bag)
     rows = [(i, " ".join(bag[i * 50 : (i + 1) * 50]).upper()) for i in range(-(-len(bag) // 50))]
     rows = [(i, t.replace("É", "é")) for i, t in rows]
