@@ -171,6 +171,102 @@ def weather_clean(spark: SparkSession, d: str) -> DataFrame:
     return silver.clean_weather(starfeed.raw_weather(spark, d))
 
 
+# ---- single batches, merged states, gates --------------------------------------------------
+
+RESTATED = "batch_1995_r"
+
+
+def _before_restatement(spark: SparkSession, d: str) -> DataFrame:
+    """The cleaned flights as they were before one batch came that restates others."""
+    earlier = starfeed.raw_flights(spark, d).filter(F.col("batch_id") != RESTATED)
+    return silver.clean_flights(silver.judge_flights(earlier))
+
+
+@query
+def flights_restated(spark: SparkSession, d: str) -> DataFrame:
+    """The old cleaned table and one new batch give what all batches give at once."""
+    raw = starfeed.raw_flights(spark, d)
+    batches = spark.range(1).select(F.lit(RESTATED).alias("batch_id"))
+    return silver.restated_flights(_before_restatement(spark, d), raw, batches)
+
+
+@query
+def flights_retracted(spark: SparkSession, d: str) -> DataFrame:
+    """Old winners that the new batch superseded."""
+    gone = silver.retracted_flights(_before_restatement(spark, d), _judged(spark, d))
+    return gone.select(*silver.FLIGHT_KEY, "record_hash", "batch_id")
+
+
+def _merged(name: str, spark: SparkSession, d: str) -> DataFrame:
+    """A report merged from the states of two parts of the flights that share days, routes and aircraft."""
+    flights = _flights(spark, d)
+    low = F.substring("record_hash", 1, 1) < "8"
+    state = gold.REPORTS[name].state
+    return gold.merged_report(name, [state(flights.filter(low)), state(flights.filter(~low))])
+
+
+@query
+def otp_merged(spark: SparkSession, d: str) -> DataFrame:
+    return _merged("gold.on_time_performance_daily", spark, d)
+
+
+@query
+def route_delay_merged(spark: SparkSession, d: str) -> DataFrame:
+    return _merged("gold.route_delay_summary", spark, d)
+
+
+@query
+def airport_delay_merged(spark: SparkSession, d: str) -> DataFrame:
+    return _merged("gold.airport_delay_summary", spark, d)
+
+
+@query
+def cancellations_merged(spark: SparkSession, d: str) -> DataFrame:
+    return _merged("gold.cancellation_summary", spark, d)
+
+
+@query
+def aircraft_perf_merged(spark: SparkSession, d: str) -> DataFrame:
+    merged = _merged("gold.aircraft_performance_summary", spark, d)
+    return gold.with_aircraft_names(merged, _aircraft(spark, d))
+
+
+@query
+def route_reference_merged(spark: SparkSession, d: str) -> DataFrame:
+    return silver.merge_routes(silver.route_months(_flights(spark, d)))
+
+
+@query
+def otp_monthly(spark: SparkSession, d: str) -> DataFrame:
+    daily = gold.REPORTS["gold.on_time_performance_daily"].state(_flights(spark, d))
+    return gold.monthly_punctuality(daily)
+
+
+@query
+def silver_gate(spark: SparkSession, d: str) -> DataFrame:
+    judged = _judged(spark, d)
+    return checks.silver_gate(judged, silver.clean_flights(judged), silver.quarantined_flights(judged))
+
+
+@query
+def gold_gate(spark: SparkSession, d: str) -> DataFrame:
+    flights = _flights(spark, d)
+    reports = {
+        "gold.on_time_performance_daily": gold.on_time_performance(flights),
+        "gold.airport_delay_summary": gold.airport_delays(flights),
+        "gold.cancellation_summary": gold.cancellations(flights),
+    }
+    return checks.gold_gate(flights, reports)
+
+
+@query
+def known_airports_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Verdicts with the optional rule that airports must be in the reference."""
+    judged = silver.judge_flights(starfeed.raw_flights(spark, d), airports=_airports(spark, d))
+    verdict = F.coalesce("quality_issue_reason", F.lit("VALID")).alias("verdict")
+    return judged.groupBy(verdict, "dest_airport").agg(F.count(F.lit(1)).alias("flights"))
+
+
 # ---- single operators ----------------------------------------------------------------------
 
 
@@ -211,7 +307,10 @@ def _event_lines(spark: SparkSession, d: str) -> DataFrame:
     if(event_id % 23 = 0, concat('{"event_id":', event_id, ',"value":'),
        concat('{"event_id":', event_id, ',"value":',
               case when event_id % 17 = 0 then '"n/a"' when event_id % 19 = 0 then '""'
-                   else cast(cast(round(value * 100) as bigint) as string) end,
+                   when event_id % 31 = 0 then '"9007199254740993.0"'
+                   else concat(cast(cast(round(value * 100) as bigint) as string),
+                               case when event_id % 13 = 0 then '.5' when event_id % 11 = 0 then '.0' else '' end)
+                   end,
               ',"kind":"', event_type, '"',
               if(event_id % 29 = 0, concat(',"extra":"', user_id, '"'), ''), '}'))
     """
@@ -221,7 +320,7 @@ def _event_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _typed_lines(spark: SparkSession, d: str) -> DataFrame:
-    declared = T.StructType.fromDDL("event_id BIGINT, value DOUBLE, kind STRING")
+    declared = T.StructType.fromDDL("event_id BIGINT, value BIGINT, kind STRING")
     texts = parse_json_lines(_event_lines(spark, d), declared.fieldNames())
     return type_fields(texts, declared)
 

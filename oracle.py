@@ -253,12 +253,19 @@ lines AS (
     WHEN event_id % 23 = 0 THEN '{"event_id":' || event_id || ',"value":'
     ELSE '{"event_id":' || event_id || ',"value":'
       || CASE WHEN event_id % 17 = 0 THEN '"n/a"' WHEN event_id % 19 = 0 THEN '""'
-         ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END
+         WHEN event_id % 31 = 0 THEN '"9007199254740993.0"'
+         ELSE CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)
+           || CASE WHEN event_id % 13 = 0 THEN '.5' WHEN event_id % 11 = 0 THEN '.0' ELSE '' END END
       || ',"kind":"' || event_type || '"'
       || CASE WHEN event_id % 29 = 0 THEN ',"extra":"' || user_id || '"' ELSE '' END || '}'
     END AS line
   FROM events
+),
+delivered AS (
+  SELECT event_id, line, json_valid(line) AS ok, regexp_extract(line, '"value":"?([^",}]*)', 1) AS v FROM lines
 )"""
+# What a whole-number field accepts.
+_WHOLE = "regexp_matches(v, '^-?[0-9]+([.]0*)?$')"
 
 _COUNTS = """count(*) AS total_flights,
   count(*) FILTER (NOT cancelled_flag) AS completed_flights,
@@ -421,32 +428,27 @@ QUALIFY row_number() OVER (
     ),
     "rescue_clean": _with(
         LINES,
-        select="""
-SELECT CAST(json_extract_string(line, '$.event_id') AS BIGINT) AS event_id,
-  CAST(nullif(json_extract_string(line, '$.value'), '') AS DOUBLE) AS value,
+        select=f"""
+SELECT event_id, CAST(nullif(split_part(v, '.', 1), '') AS BIGINT) AS value,
   json_extract_string(line, '$.kind') AS kind
-FROM (SELECT line FROM lines WHERE json_valid(line))
-WHERE (json_extract_string(line, '$.value') = ''
-    OR TRY_CAST(json_extract_string(line, '$.value') AS DOUBLE) IS NOT NULL)
-  AND json_extract(line, '$.extra') IS NULL""",
+FROM delivered WHERE ok AND (v = '' OR {_WHOLE}) AND json_extract(line, '$.extra') IS NULL""",
     ),
     "rescue_rejected": _with(
         LINES,
-        select="""
+        select=f"""
 SELECT 'bronze.event_lines_raw' AS source_table, 'star_events' AS source_system,
   'events.jsonl' AS source_file_name, 'batch_1' AS batch_id,
-  CASE WHEN NOT ok THEN '{"_corrupt_record":"' || replace(line, '"', '\\"') || '"}'
-    ELSE '{' || concat_ws(',', CASE WHEN misfit THEN '"value":"n/a"' END,
-      CASE WHEN stranger IS NOT NULL THEN '"extra":"' || stranger || '"' END) || '}' END
+  CASE WHEN NOT ok THEN '{{"_corrupt_record":"' || replace(line, '"', '\\"') || '"}}'
+    ELSE '{{' || concat_ws(',', CASE WHEN misfit THEN '"value":"' || v || '"' END,
+      CASE WHEN stranger IS NOT NULL THEN '"extra":"' || stranger || '"' END) || '}}' END
     AS rescued_data,
-  CASE WHEN ok THEN '{"event_id":"' || event_id || '"'
+  CASE WHEN ok THEN '{{"event_id":"' || event_id || '"'
     || CASE WHEN v <> '' THEN ',"value":"' || v || '"' ELSE '' END
-    || ',"kind":"' || json_extract_string(line, '$.kind') || '"}' ELSE '{}' END AS raw_payload
+    || ',"kind":"' || json_extract_string(line, '$.kind') || '"}}' ELSE '{{}}' END AS raw_payload
 FROM (
-  SELECT event_id, line, ok, v, TRY_CAST(nullif(v, '') AS DOUBLE) IS NULL AND v <> '' AS misfit,
+  SELECT *, v <> '' AND NOT {_WHOLE} AS misfit,
     CASE WHEN ok THEN json_extract_string(line, '$.extra') END AS stranger
-  FROM (SELECT event_id, line, json_valid(line) AS ok,
-    CASE WHEN json_valid(line) THEN json_extract_string(line, '$.value') END AS v FROM lines)
+  FROM delivered
 )
 WHERE NOT ok OR misfit OR stranger IS NOT NULL""",
     ),
@@ -560,7 +562,8 @@ FROM feed GROUP BY ALL HAVING count(*) > 1 ORDER BY duplicate_count DESC""",
         select="""
 SELECT 'event_lines_rejected' AS "check", 'bronze' AS layer, count(*) AS observed,
   CAST(0 AS BIGINT) AS expected, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'CHECK' END AS status
-FROM lines WHERE event_id % 23 = 0 OR event_id % 17 = 0 OR event_id % 29 = 0""",
+FROM lines WHERE event_id % 23 = 0 OR event_id % 17 = 0 OR event_id % 29 = 0
+  OR (event_id % 13 = 0 AND event_id % 19 <> 0 AND event_id % 31 <> 0)""",
     ),
     "expected_volumes": _with(
         FEED,
@@ -719,3 +722,91 @@ LATERAL (SELECT coalesce(f.scheduled_arrival_ts - o.observation_time <= INTERVAL
   FALSE) AS young)""",
     ),
 }
+
+# ---- single batches, merged states, gates: the same rows as from one pass ------------------
+
+_MERGED = {
+    "flights_restated": "flights_clean",
+    "otp_merged": "otp_daily",
+    "route_delay_merged": "route_delay",
+    "airport_delay_merged": "airport_delay",
+    "cancellations_merged": "cancellations",
+    "aircraft_perf_merged": "aircraft_perf",
+    "route_reference_merged": "route_reference",
+}
+ORACLE |= {name: ORACLE[same] for name, same in _MERGED.items()}
+
+_EARLIER = JUDGED.replace("FROM feed", "FROM feed WHERE batch_id <> 'batch_1995_r'")
+for _name in ("parsed", "rolled", "judged"):
+    _EARLIER = _EARLIER.replace(f"{_name} AS (", f"earlier_{_name} AS (").replace(f"FROM {_name}\n", f"FROM earlier_{_name}\n")
+
+_KEY = "flight_date, reporting_airline, flight_number, origin_airport, dest_airport, record_hash, batch_id"
+_LAYERED = """SELECT "check", '{layer}' AS layer, observed, expected,
+  CASE WHEN expected IS NULL THEN 'INFO' WHEN observed = expected THEN 'PASS' ELSE 'CHECK' END AS status
+FROM ({rows})"""
+
+
+def _gate(layer: str, *rows: tuple[str, str, str, str]) -> str:
+    each = [
+        f"SELECT '{name}' AS \"check\", CAST({seen} AS BIGINT) AS observed, CAST({want} AS BIGINT) AS expected FROM {source}"
+        for name, seen, want, source in rows
+    ]
+    return _LAYERED.format(layer=layer, rows="\nUNION ALL\n".join(each))
+
+
+ORACLE |= {
+    "flights_retracted": _with(
+        FEED,
+        JUDGED,
+        _EARLIER,
+        select=f"""
+SELECT {_KEY} FROM earlier_judged WHERE quality_issue_reason IS NULL
+EXCEPT
+SELECT {_KEY} FROM judged WHERE quality_issue_reason IS NULL""",
+    ),
+    "otp_monthly": _with(
+        *_FLIGHTS,
+        OTP.replace("otp AS (\n  SELECT flight_date,", "otp AS (\n  SELECT year_month,").replace(
+            "GROUP BY flight_date,", "GROUP BY year_month,"
+        ),
+        select="SELECT * FROM otp",
+    ),
+    "silver_gate": _with(
+        *_FLIGHTS,
+        select=_gate(
+            "silver",
+            ("flights_clean_or_quarantined", "count(*)", "count(*)", "judged"),
+            ("invalid_scheduled_sequence", "count(*) FILTER (scheduled_arrival_ts < scheduled_departure_ts)", "0", "flights"),
+            ("invalid_actual_sequence", "count(*) FILTER (actual_arrival_ts < actual_departure_ts)", "0", "flights"),
+            ("invalid_route_code", "count(*) FILTER (route_code <> origin_airport || '-' || dest_airport)", "0", "flights"),
+            (
+                "cancelled_without_reason",
+                "count(*) FILTER (cancelled_flag AND coalesce(cancellation_code NOT IN ('A', 'B', 'C', 'D'), true))",
+                "NULL",
+                "flights",
+            ),
+            ("reason_without_cancellation", "count(*) FILTER (NOT cancelled_flag AND cancellation_code IS NOT NULL)", "NULL", "flights"),
+        ),
+    ),
+    "gold_gate": _with(
+        *_FLIGHTS,
+        select=_gate(
+            "gold",
+            ("invalid_on_time_percentage", "0", "0", "(SELECT 1)"),
+            ("flights in on_time_performance_daily", "count(*)", "count(*)", "flights"),
+            ("flights in airport_delay_summary", "2 * count(*)", "2 * count(*)", "flights"),
+            ("flights in cancellation_summary", "count(*) FILTER (cancelled_flag)", "count(*) FILTER (cancelled_flag)", "flights"),
+        ),
+    ),
+    "known_airports_reasons": _with(
+        FEED,
+        JUDGED,
+        AIRPORTS,
+        select="""
+SELECT coalesce(quality_issue_reason, CASE WHEN origin_airport NOT IN (SELECT airport_iata_code FROM airports
+      WHERE airport_iata_code IS NOT NULL)
+    OR dest_airport NOT IN (SELECT airport_iata_code FROM airports WHERE airport_iata_code IS NOT NULL)
+    THEN 'UNKNOWN_AIRPORT' END, 'VALID') AS verdict, dest_airport, count(*) AS flights
+FROM judged GROUP BY ALL""",
+    ),
+}

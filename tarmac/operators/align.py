@@ -17,9 +17,10 @@ def quoted(name: str) -> Column:
 def lenient_cast(raw: Column, to: T.DataType) -> Column:
     """NULL where the value does not fit; whole-number types accept ``3.0`` as 3, but not ``3.7``."""
     if isinstance(to, T.IntegralType):
-        number = raw.try_cast("double")
-        # Through text, as a cast would cut off what follows the point: "12" fits, "12.5" does not.
+        # Through text, as a cast would cut off what follows the point: "12" fits, "12.5" does not. Decimals
+        # keep every digit of a BIGINT.
         text = raw.cast("string")
+        number = text.try_cast("decimal(38,18)")
         whole = F.when(number == F.floor(number), number.try_cast(to))
         return F.coalesce(F.when(~text.contains("."), text.try_cast(to)), whole)
     return raw.try_cast(to)

@@ -31,6 +31,19 @@ FLIGHT_RULES = (
     Rule("MISSING_ACTUAL_ARRIVAL", "not cancelled_flag and actual_arrival_ts is null"),
 )
 
+# An optional rule that depends on another table, see ``with_known_airports``.
+KNOWN_AIRPORTS = Rule("UNKNOWN_AIRPORT", "not (origin_is_known and dest_is_known)")
+
+
+def with_known_airports(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """Whether origin and destination are among the cleaned ``airports``; meets each distinct code once."""
+    codes = airports.select(F.col("airport_iata_code").alias("code")).filter("code is not null").distinct()
+    for end in ("origin", "dest"):
+        known = codes.select(F.col("code").alias(f"{end}_airport"), F.lit(True).alias(f"{end}_is_known"))
+        flights = flights.join(known, f"{end}_airport", "left")
+        flights = flights.withColumn(f"{end}_is_known", F.coalesce(f"{end}_is_known", F.lit(False)))
+    return flights
+
 
 def first_broken(rules: Iterable[Rule]) -> Column:
     """Reason of the first broken rule, NULL for a sound row."""

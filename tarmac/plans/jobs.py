@@ -271,6 +271,11 @@ class RefineJob(_Job):
     pipeline_name = "silver_transformation"
     flights = "bronze.flight_operations_raw"
 
+    def __init__(self, lake: Lake, *, known_airports_only: bool = False, **options: Any):
+        """``known_airports_only``: flights from or to airports that are not in the reference go to quarantine."""
+        super().__init__(lake, **options)
+        self.known_airports_only = known_airports_only
+
     def run(
         self, *, batches: Collection[str] | None = None, run_id: str | None = None
     ) -> list[dict[str, Any]]:
@@ -310,7 +315,8 @@ class RefineJob(_Job):
         The written table cuts the lineage: a lost executor costs a re-read, not another
         de-duplication.
         """
-        judged = silver.judge_flights(self.raw_flights(months))
+        airports = silver.clean_airports(self.lake.read("bronze.airports_raw")) if self.known_airports_only else None
+        judged = silver.judge_flights(self.raw_flights(months), airports=airports)
         table = self.lake.table("silver.flight_operations_clean")
         return table.stage_as_is(judged.hint("rebalance", *table.keys))
 

@@ -11,7 +11,14 @@ from tarmac.functions.clock import clock_timestamp, roll_overnight
 from tarmac.functions.codes import station_code
 from tarmac.functions.measures import LATE_AFTER_MINUTES, is_late, known_minutes
 from tarmac.operators.latest import keep_latest
-from tarmac.operators.rules import FLIGHT_RULES, Rule, first_broken, split_on
+from tarmac.operators.rules import (
+    FLIGHT_RULES,
+    KNOWN_AIRPORTS,
+    Rule,
+    first_broken,
+    split_on,
+    with_known_airports,
+)
 from tarmac.schemas import TABLES
 
 FLIGHT_KEY = ("flight_date", "reporting_airline", "flight_number", "origin_airport", "dest_airport")
@@ -77,15 +84,21 @@ def add_movement_times(flights: DataFrame) -> DataFrame:
     )
 
 
-def judge_flights(raw: DataFrame, rules: Iterable[Rule] = FLIGHT_RULES) -> DataFrame:
+def judge_flights(
+    raw: DataFrame, rules: Iterable[Rule] = FLIGHT_RULES, airports: DataFrame | None = None
+) -> DataFrame:
     """Standardised flights, one row per flight key, each with its quality verdict.
 
+    Given the cleaned ``airports``, a flight from or to another airport breaks a last rule.
+
     The verdict needs only the row itself, so it is reached before the de-duplication: the
     bulky ``raw_record`` then travels through the shuffle only for rows that go to quarantine.
     """
-    judged = add_movement_times(standardise_flights(raw)).withColumn(
-        "quality_issue_reason", first_broken(rules)
-    )
+    flights = add_movement_times(standardise_flights(raw))
+    if airports is not None:
+        flights = with_known_airports(flights, airports)
+        rules = (*rules, KNOWN_AIRPORTS)
+    judged = flights.withColumn("quality_issue_reason", first_broken(rules))
     if "raw_record" in raw.columns:
         failed = F.col("quality_issue_reason").isNotNull()
         judged = judged.withColumn("raw_record", F.when(failed, F.col("raw_record")))

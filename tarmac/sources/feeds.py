@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +54,7 @@ def normalize_format(source_format: str) -> str:
     known = {"csv": "csv", "json": "json", "jsonl": "json"}
     found = known.get(source_format.strip().lower())
     if found is None:
-        raise ValueError(f"Unsupported source format: {source_format}")
+        raise ValueError(f"no reader for feeds in the format {source_format!r}")
     return found
 
 
@@ -89,7 +93,7 @@ def feed_catalogue(data_root: str, variant: str = "mixed") -> list[FeedSpec]:
         "mixed": {**dict.fromkeys(FEEDS, "csv"), "weather_metar": "jsonl"},
     }
     if variant not in formats:
-        raise ValueError(f"Unsupported source variant: {variant}")
+        raise ValueError(f"no catalogue of feeds is called {variant!r}")
     return [feed_spec(data_root, feed, fmt) for feed, fmt in formats[variant].items()]
 
 
@@ -129,8 +133,63 @@ def csv_header(spark: SparkSession, spec: FeedSpec) -> list[str]:
     return spark.read.options(**csv_options(spec)).csv(spec.source_path).columns
 
 
-def scan_csv(reader: Reader, spec: FeedSpec, names: list[str]) -> DataFrame:
-    lines = reader.options(**csv_options(spec)).schema(_text_schema(names)).csv(spec.source_path)
+def _first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of a partition; the rest is not read."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """The first line of every file below ``path``: one job with a task per file, which stops after that line.
+
+    What comes to the driver is a line per file, as its listing does.
+    """
+    whole = str(1 << 60)
+    sizes = {"spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole}
+    before = {key: spark.conf.get(key) for key in sizes}
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    try:
+        for key, value in sizes.items():  # a file is one partition
+            spark.conf.set(key, value)
+        found = lines.mapInArrow(_first_rows, lines.schema).collect()
+        return {unquote(r["file"]): r["value"] for r in found}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def csv_headers(spark: SparkSession, spec: FeedSpec) -> dict[tuple[str, ...], list[str]]:
+    """The feed's files by the column names of their header lines."""
+    files: dict[str, list[str]] = {}
+    for path, line in sorted(first_lines(spark, spec.source_path).items()):
+        files.setdefault(line, []).append(path)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for paths in files.values():
+        names = spark.read.options(**csv_options(spec)).csv(paths[0]).columns
+        groups.setdefault(tuple(names), []).extend(paths)
+    return groups
+
+
+def scan_csv_files(spark: SparkSession, spec: FeedSpec) -> tuple[DataFrame, list[str]]:
+    """All files of the feed, one scan per distinct header, matched by column name; and the names of all columns.
+
+    Columns that a file does not have are NULL in its rows. Order of columns: as they come up over the files by name.
+    """
+    groups = csv_headers(spark, spec)
+    if len(groups) < 2:
+        names = list(next(iter(groups))) if groups else csv_header(spark, spec)
+        return scan_csv(spark.read, spec, names), names
+    names = list(dict.fromkeys(n for header in groups for n in header))
+    scans = [scan_csv(spark.read, spec, list(header), paths) for header, paths in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans), names
+
+
+def scan_csv(
+    reader: Reader, spec: FeedSpec, names: list[str], paths: list[str] | None = None
+) -> DataFrame:
+    lines = reader.options(**csv_options(spec)).schema(_text_schema(names)).csv(paths or spec.source_path)
     nothing = F.lit(None).cast("map<string,string>")
     return _texts(
         lines.select("*", scanned_file_name().alias(SOURCE_FILE), nothing.alias(UNKNOWN)), names
@@ -145,26 +204,47 @@ def json_lines(reader: Reader, spec: FeedSpec) -> DataFrame:
     )
 
 
+def parsed_lines(lines: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """Each line parsed once, into a map from its top-level keys to texts (nested values as JSON text).
+
+    The map is NULL for a line that is not a JSON object. Of a key given twice the first value counts.
+    """
+    settings = {**(options or {}), "mode": "PERMISSIVE"}
+    found = F.from_json("value", T.MapType(T.StringType(), T.StringType()), settings)
+    return lines.select(found.alias("found"), "value", SOURCE_FILE)
+
+
+# New columns that one load may bring; the names come to the driver, as a schema does.
+MOST_NEW_COLUMNS = 1000
+
+
 def json_new_keys(lines: DataFrame, declared: list[str]) -> list[str]:
-    """Top-level keys beyond the declared ones; the distinct runs map-side first."""
+    """Top-level keys beyond the declared ones; the distinct runs map-side first.
+
+    A feed with more than ``MOST_NEW_COLUMNS`` of them fails: its keys are data, not columns.
+    """
     keys = lines.select(F.explode(F.json_object_keys("value")).alias("key"))
-    fresh = keys.filter(~F.col("key").isin(declared)).distinct()
-    return sorted(row["key"] for row in fresh.collect())
+    fresh = keys.filter(~F.col("key").isin(declared)).distinct().limit(MOST_NEW_COLUMNS + 1)
+    names = sorted(row["key"] for row in fresh.collect())
+    if len(names) > MOST_NEW_COLUMNS:
+        raise ValueError(f"more than {MOST_NEW_COLUMNS} new keys; load this feed without schema growth")
+    return names
 
 
 def parse_json_lines(
     lines: DataFrame, names: list[str], options: dict[str, str] | None = None
 ) -> DataFrame:
-    """The named keys as text (nested values as JSON text), other keys in a map."""
-    settings = {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    row = F.from_json("value", _text_schema(names), settings)
-    others = F.map_filter(
-        F.from_json("value", T.MapType(T.StringType(), T.StringType()), settings),
-        lambda key, value: ~key.isin(names) & value.isNotNull(),
+    """The named keys as text, other keys in a map, from one parse of each line."""
+    parsed = parsed_lines(lines, options)
+    found = F.col("found")
+    others = F.map_filter(found, lambda key, value: ~key.isin(names) & value.isNotNull())
+    rows = parsed.select(
+        *[F.try_element_at(found, F.lit(n)).alias(n) for n in names],
+        F.when(found.isNull(), F.col("value")).alias(CORRUPT),
+        F.when(F.size(others) > 0, others).alias(UNKNOWN),
+        SOURCE_FILE,
     )
-    has_others = F.size(F.array_except(F.json_object_keys("value"), F.array(*map(F.lit, names)))) > 0
-    parsed = lines.select(row.alias("row"), F.when(has_others, others).alias(UNKNOWN), SOURCE_FILE)
-    return _texts(parsed.select("row.*", UNKNOWN, SOURCE_FILE), names)
+    return _texts(rows, names)
 
 
 def scan(
@@ -176,9 +256,9 @@ def scan(
     """
     known = declared.fieldNames()
     if normalize_format(spec.source_format) == "csv":
-        names = csv_header(spark, spec)
+        rows, names = scan_csv_files(spark, spec)
         fresh = [n for n in names if n not in known]
-        return scan_csv(spark.read, spec, names), fresh if spec.allow_schema_evolution else []
+        return rows, fresh if spec.allow_schema_evolution else []
     lines = json_lines(spark.read, spec)
     fresh = json_new_keys(lines, known) if spec.allow_schema_evolution else []
     return parse_json_lines(lines, [*known, *fresh], spec.options), fresh

@@ -4,11 +4,22 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from samples import FLIGHTS, flight, write_csv, write_json
 
 from tarmac.schemas import TABLES, rejected_name
 from tarmac.sinks.monthly import export_monthly
-from tarmac.sources.feeds import feed_catalogue, feed_spec, normalize_format, scan
+from tarmac.operators.align import lenient_cast
+from tarmac.sources import feeds
+from tarmac.sources.feeds import (
+    FeedSpec,
+    csv_headers,
+    feed_catalogue,
+    feed_spec,
+    normalize_format,
+    parse_json_lines,
+    scan,
+)
 from tarmac.sources.rescue import (
     PAYLOAD,
     RESCUED_COLUMN,
@@ -120,14 +131,6 @@ def test_new_fields_grow_the_schema_or_are_rejected(spark, tmp_path, fmt):
     assert '{"gate":"A1"}' in [r[RESCUED_COLUMN] for r in misfits.collect()]
 
 
-def test_files_with_another_header_are_refused(spark, tmp_path):
-    folder = tmp_path / "data" / "raw" / "flight_operations"
-    write_csv(folder, "a.csv", [flight()])
-    write_csv(folder, "b.csv", [dict(reversed(flight(flight_number="2").items()))])
-    with pytest.raises(Exception, match="header"):
-        typed(spark, spec_of(tmp_path, "csv")).collect()
-
-
 def test_split_without_rescued_column(spark):
     df = spark.range(3)
     fit, misfits = split_rescued(df)
@@ -146,3 +149,56 @@ def test_monthly_export_reads_back(spark, tmp_path):
     schema = "year_month string, t string, n int"
     text = spark.read.csv(folders["csv"], header=True, schema=schema, escape='"')
     assert {tuple(r) for r in text.select("year_month", "t", "n").collect()} == want
+
+
+def test_files_with_different_headers_are_matched_by_name(spark, tmp_path):
+    spec = feed_spec(str(tmp_path), "airports", "csv")
+    folder = tmp_path / "data" / "raw" / "airports"
+    write_csv(folder, "2025-01.csv", [{"ident": "A", "name": "One, first"}, {"ident": "B", "name": ""}])
+    write_csv(folder, "2025 02+.csv", [{"name": "Three", "tower": "yes", "ident": "C"}])
+    write_csv(folder, "2025-03.csv", [{"ident": "D", "name": "Four"}])
+    declared = TABLES[spec.target_table].schema
+    rows, fresh = scan(spark, spec, declared)
+    assert fresh == ["tower"]
+    got = {(r["ident"], r["name"], r["tower"], r["_source_file"]) for r in rows.collect()}
+    assert got == {
+        ("A", "One, first", None, "2025-01.csv"), ("B", None, None, "2025-01.csv"),
+        ("C", "Three", "yes", "2025%2002+.csv"), ("D", "Four", None, "2025-03.csv"),
+    }
+    assert len(csv_headers(spark, spec)) == 2
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2  # one per distinct header
+    # A line that does not fit the header of its own file is still rejected.
+    with (folder / "2025 02+.csv").open("a") as out:
+        out.write("Five,no\n")
+    fixed = scan(spark, FeedSpec(**{**spec.__dict__, "allow_schema_evolution": False}), declared)[0]
+    rescued = [r[RESCUED_COLUMN] for r in type_fields(fixed, declared).collect()]
+    assert sorted(x for x in rescued if x) == ['{"_corrupt_record":"Five,no"}', '{"tower":"yes"}']
+
+
+def test_each_json_line_is_parsed_once(spark):
+    lines = spark.createDataFrame(
+        [('{"a": 1, "b": {"x": [1]}, "c": "q"}', "f"), ("[1]", "f"), ('{"a": ', "f"), ('{"a": "z", "a": 2}', "f"), ("null", "f")],
+        "value string, _source_file string",
+    )
+    rows = parse_json_lines(lines, ["a", "b"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("from_json(") == 1 and "json_object_keys" not in plan
+    got = [(r["a"], r["b"], r["_unknown_fields"], r["_corrupt_record"]) for r in rows.collect()]
+    assert got == [
+        ("1", '{"x":[1]}', {"c": "q"}, None), (None, None, None, "[1]"), (None, None, None, '{"a": '),
+        ("z", None, None, None), (None, None, None, "null"),
+    ]
+
+
+def test_a_feed_whose_keys_are_data_does_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(feeds, "MOST_NEW_COLUMNS", 5)
+    lines = spark.range(10).selectExpr("""concat('{"k', id, '": 1}') as value""", "'f' as _source_file")
+    with pytest.raises(ValueError, match="more than 5 new keys"):
+        feeds.json_new_keys(lines, [])
+
+
+def test_whole_numbers_keep_every_digit(spark):
+    texts = ["9007199254740993.0", "9223372036854775807.0", "12.5", "1e3", "3.", "-7.000", "9223372036854775808", "x", "NaN"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(lenient_cast(F.col("t"), T.LongType()))
+    assert [r[0] for r in rows.collect()] == [9007199254740993, 2**63 - 1, None, 1000, 3, -7, None, None, None]
