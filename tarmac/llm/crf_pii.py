@@ -31,7 +31,8 @@ from tarmac.llm.store import setup
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 LABELLED_ROWS = 50_000
-REMEMBERED = 300_000
+REMEMBERED, FORMS = 150_000, 50_000
+LONGEST_REMEMBERED = 64
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DIGIT = re.compile(r"[0-9]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -237,8 +238,6 @@ class Field:
 
     def form_of(self, word: str) -> int:
         """Number of the word's feature set; sets are few, words many."""
-        if len(self.known) >= REMEMBERED or len(self.forms) >= REMEMBERED:
-            self.known.clear()
         key = shape(word)
         number = self.forms.get(key)
         if number is None:
@@ -248,10 +247,14 @@ class Field:
             at = [self.features[f] for f in key if f in self.features]
             for k, table in enumerate((self.own, self.left, self.right)):
                 self.vectors[k, number] = table[at].sum(axis=0)
-        self.known[word] = number
+        if len(word) <= LONGEST_REMEMBERED:
+            self.known[word] = number
         return number
 
     def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of feature sets, good until the next call, which may forget all of them."""
+        if len(self.known) >= REMEMBERED or len(self.forms) >= FORMS:
+            self._reset()
         known = self.known
         return np.fromiter(
             (known[w] if w in known else self.form_of(w) for w in words), np.int64, count=len(words)

@@ -27,9 +27,12 @@ from pyspark.sql import DataFrame
 
 from tarmac.llm.store import setup
 
-# Words whose encodings a worker remembers, and trie nodes before the trie starts anew.
-REMEMBERED = 500_000
-TRIE_NODES = 300_000
+# What a task remembers: bytes of encodings (an entry weighs ENTRY besides its contents), none of longer stretches;
+# trie nodes before the trie starts anew; judged pairs of tokens.
+REMEMBERED = 1 << 25
+ENTRY, LONGEST_REMEMBERED = 200, 64
+TRIE_NODES = 100_000
+PAIRS = 300_000
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
@@ -63,6 +66,10 @@ class TrieEncoder:
         self._build_endings()
         self._reset()
 
+    def forget(self) -> None:
+        self._compatible.clear()
+        self._reset()
+
     def _build_endings(self) -> None:
         """An automaton over token spellings; each state knows the tokens that end there, longest first."""
         self.next: list[dict[str, int]] = [{}]
@@ -113,7 +120,7 @@ class TrieEncoder:
         key = (left, right)
         known = self._compatible.get(key)
         if known is None:
-            if len(self._compatible) > 2_000_000:
+            if len(self._compatible) > PAIRS:
                 self._compatible.clear()
             known = self._compatible[key] = self._apart(left, right)
         return known
@@ -201,8 +208,14 @@ class Tokenizer:
         self.trie = TrieEncoder(spec["model"])
         self.names = self.trie.names | {i: t for t, i in self.special.items()}
         self.symbol_of = self.trie.symbols
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop what was remembered of earlier texts."""
         self.encoded: dict[str, bytes] = {}
         self.decoded: dict[str, str] = {}
+        self.size = 0
+        self.trie.forget()
 
     def normalise(self, text: str) -> str:
         # White space only separates, so that runs of it need no replacing. Lower-casing goes character by
@@ -214,21 +227,31 @@ class Tokenizer:
             return word
         return "".join([self.symbol_of[b] for b in word.encode("utf-8", "replace")])
 
-    def learn(self, chunks: set[str]) -> None:
-        """Remember the encodings of stretches without white space, each made of one or more words."""
-        new = [c for c in chunks if c not in self.encoded]
+    def learn(self, chunks: set[str], decode: bool) -> tuple[dict[str, bytes], dict[str, str]]:
+        """Encodings, and with ``decode`` decoded texts, of stretches without white space that are not remembered."""
+        new = [c for c in chunks if c not in self.encoded or (decode and c not in self.decoded)]
         if not new:
-            return
-        if len(self.encoded) + len(new) > REMEMBERED:
-            self.encoded.clear()
-            self.decoded.clear()
-            new = list(chunks)
+            return {}, {}
         parts = {c: [self._spelling(w) for w in self.words.findall(c)] for c in new}
         ids = self.trie.encode(list({w for p in parts.values() for w in p}))
+        encoded, decoded = {}, {}
         for chunk, spellings in parts.items():
             tokens = [i for w in spellings for i in ids[w]]
-            self.encoded[chunk] = np.array(tokens, "<u4").tobytes()
-            self.decoded[chunk] = " ".join([self.names[i] for i in tokens])
+            encoded[chunk] = np.array(tokens, "<u4").tobytes()
+            if decode:
+                decoded[chunk] = " ".join([self.names[i] for i in tokens])
+        return encoded, decoded
+
+    def _remember(self, encoded: dict[str, bytes], decoded: dict[str, str]) -> None:
+        if self.size > REMEMBERED:
+            self.encoded, self.decoded, self.size = {}, {}, 0
+        for chunk, ids in encoded.items():
+            if len(chunk) <= LONGEST_REMEMBERED:
+                self.encoded[chunk] = ids
+                self.size += ENTRY + len(chunk) + len(ids)
+                if chunk in decoded:
+                    self.decoded[chunk] = decoded[chunk]
+                    self.size += ENTRY + len(decoded[chunk])
 
     def pieces(self, text: str) -> Iterator[tuple[bool, str]]:
         """Stretches of ordinary text and special tokens."""
@@ -245,14 +268,15 @@ class Tokenizer:
             return [c for c in self.space.split(text) if c]
         return text.split()
 
-    def encode_batch(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """Ids as little-endian 32-bit integers, and the decoded text."""
+    def encode_batch(self, texts: list[str], decode: bool = True) -> Iterator[tuple[bytes, str]]:
+        """Ids as little-endian 32-bit integers, and the decoded text (empty unless ``decode``)."""
         for first in range(0, len(texts), 64):
             some = [
                 [(special, p if special else self.split(p)) for special, p in self.pieces(text)]
                 for text in texts[first : first + 64]
             ]
-            self.learn({w for parts in some for special, p in parts if not special for w in p})
+            fresh, spelled = self.learn({w for parts in some for special, p in parts if not special for w in p}, decode)
+            known, named = self.encoded, self.decoded
             for parts in some:
                 ids, spoken = [], []
                 for special, p in parts:
@@ -260,9 +284,11 @@ class Tokenizer:
                         ids.append(np.array([self.special[p]], "<u4").tobytes())
                         spoken.append(p)
                     else:
-                        ids += map(self.encoded.__getitem__, p)
-                        spoken += map(self.decoded.__getitem__, p)
-                yield b"".join(ids), " ".join(filter(None, spoken))
+                        ids += [fresh[w] if w in fresh else known[w] for w in p]
+                        if decode:
+                            spoken += [spelled[w] if w in spelled else named[w] for w in p]
+                yield b"".join(ids), " ".join(filter(None, spoken)) if decode else ""
+            self._remember(fresh, spelled)
 
 
 @cache
@@ -280,6 +306,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = load(path)
+        tokenizer.forget()  # workers are reused; the tables of the file stay, what other tasks read does not
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             rows = [
@@ -289,6 +316,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
             frame = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield frame
+        tokenizer.forget()
 
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
 
@@ -299,11 +327,12 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
+        tokenizer.forget()
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 part = batch.slice(low, 64)
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x, _ in tokenizer.encode_batch(texts)]
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x, _ in tokenizer.encode_batch(texts, decode=False)]
                 ptr = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
                 yield pa.RecordBatch.from_arrays(
@@ -314,6 +343,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
                     ],
                     ["doc_id", "lang", "source", "n_tokens", "ids"],
                 )
+        tokenizer.forget()
 
     columns = docs.select("doc_id", "lang", "source", "text")
     types = {f.name: f.dataType.simpleString() for f in columns.schema}
