@@ -395,6 +395,14 @@ def align_schema(spark: SparkSession, d: str) -> DataFrame:
     return align(rows, target, lenient=True)
 
 
+@query
+def align_schema_strict(spark: SparkSession, d: str) -> DataFrame:
+    target = T.StructType.fromDDL("part INT, price DECIMAL(12,2), name STRING, since DATE")
+    parts = starfeed.table(spark, d, "part")
+    renamed = {"p_partkey": "part", "p_retailprice": "price", "p_name": "name"}
+    return align(parts.withColumnsRenamed(renamed), target)
+
+
 @query
 def schema_evolution(spark: SparkSession, d: str) -> DataFrame:
     orders = starfeed.table(spark, d, "orders")
@@ -513,6 +521,29 @@ def cancellation_code_check(spark: SparkSession, d: str) -> DataFrame:
     return checks.unknown_cancellation_codes(_flights(spark, d))
 
 
+@query
+def expected_volumes_met(spark: SparkSession, d: str) -> DataFrame:
+    tables = {name: starfeed.table(spark, d, name) for name in ("region", "nation", "orders")}
+    return checks.expect_counts(tables, "bronze", {"region": 5, "nation": 25})
+
+
+@query
+def percentage_range_violated(spark: SparkSession, d: str) -> DataFrame:
+    """The range check on stretched shares, where it finds something."""
+    stretched = F.col("on_time_arrival_percentage") * 2 - 50
+    daily = gold.on_time_performance(_flights(spark, d))
+    return checks.bad_percentages(daily.withColumn("on_time_arrival_percentage", stretched))
+
+
+@query
+def cancellation_codes_swapped(spark: SparkSession, d: str) -> DataFrame:
+    """The code check with cancelled and flown flights swapped, where both halves find something."""
+    flights = _flights(spark, d)
+    return checks.unknown_cancellation_codes(
+        flights.withColumn("cancelled_flag", ~F.col("cancelled_flag"))
+    )
+
+
 @query
 def processed_totals(spark: SparkSession, d: str) -> DataFrame:
     judged = _judged(spark, d)

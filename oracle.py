@@ -517,7 +517,7 @@ FROM feed GROUP BY ALL HAVING count(*) > 1 ORDER BY duplicate_count DESC""",
         select=_counts(
             {
                 "flight_operations_raw": "feed",
-                "airports_raw": "customer WHERE c_nationkey <> 24",
+                "airports_raw": "customer",
                 "aircraft_reference_raw": "part",
                 "weather_metar_raw": "events",
             }
@@ -572,7 +572,7 @@ SELECT 'rows of ' || t AS "check", 'bronze' AS layer, n AS observed, want AS exp
   CASE WHEN want IS NULL THEN 'INFO' WHEN n = want THEN 'PASS' ELSE 'CHECK' END AS status
 FROM (
   SELECT 'flight_operations_raw' AS t, count(*) AS n, CAST(720 AS BIGINT) AS want FROM feed
-  UNION ALL SELECT 'airports_raw', count(*), 8 FROM customer WHERE c_nationkey <> 24
+  UNION ALL SELECT 'airports_raw', count(*), 8 FROM customer
   UNION ALL SELECT 'aircraft_reference_raw', count(*), 4 FROM part
   UNION ALL SELECT 'weather_metar_raw', count(*), NULL FROM events
 )""",
@@ -810,3 +810,34 @@ SELECT coalesce(quality_issue_reason, CASE WHEN origin_airport NOT IN (SELECT ai
 FROM judged GROUP BY ALL""",
     ),
 }
+
+# ---- checks that find something, strict casts ----------------------------------------------
+
+ORACLE |= {
+    "percentage_range_violated": _with(
+        *_FLIGHTS,
+        OTP,
+        select="""
+SELECT count(*) AS invalid_on_time_percentage FROM otp
+WHERE on_time_arrival_percentage * 2 - 50 NOT BETWEEN 0 AND 100""",
+    ),
+    "cancellation_codes_swapped": _with(
+        *_FLIGHTS,
+        select="""
+SELECT count(*) FILTER (NOT cancelled_flag
+    AND (cancellation_code IS NULL OR cancellation_code NOT IN ('A', 'B', 'C', 'D')))
+    AS cancelled_without_reason,
+  count(*) FILTER (cancelled_flag AND cancellation_code IS NOT NULL)
+    AS reason_without_cancellation
+FROM flights""",
+    ),
+    "expected_volumes_met": """
+SELECT 'rows of region' AS "check", 'bronze' AS layer, count(*) AS observed, CAST(5 AS BIGINT) AS expected,
+  CASE WHEN count(*) = 5 THEN 'PASS' ELSE 'CHECK' END AS status FROM region
+UNION ALL SELECT 'rows of nation', 'bronze', count(*), 25,
+  CASE WHEN count(*) = 25 THEN 'PASS' ELSE 'CHECK' END FROM nation
+UNION ALL SELECT 'rows of orders', 'bronze', count(*), NULL, 'INFO' FROM orders""",
+    "align_schema_strict": """
+SELECT CAST(p_partkey AS INTEGER) AS part, CAST(p_retailprice AS DECIMAL(12, 2)) AS price,
+  p_name AS name, CAST(NULL AS DATE) AS since FROM part""",
+}

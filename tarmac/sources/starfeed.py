@@ -105,8 +105,8 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_airports(spark: SparkSession, folder: str) -> DataFrame:
-    """Airport reports: many per airport, in mixed case; airport N24 is never reported."""
-    return table(spark, folder, "customer").filter("c_nationkey <> 24").selectExpr(
+    """Airport reports: many per airport, in mixed case; airport N24 never has its codes."""
+    return table(spark, folder, "customer").selectExpr(
         "cast(c_custkey as string) as airport_id",
         "concat(if(c_custkey % 2 = 0, 'KN', 'kn'), lpad(c_nationkey, 2, '0')) as ident",
         "if(c_custkey % 3 = 0, 'large_airport', 'medium_airport') as type",
@@ -120,9 +120,9 @@ def raw_airports(spark: SparkSession, folder: str) -> DataFrame:
         "concat('City ', c_nationkey) as municipality",
         "element_at(array('yes', 'YES', 'no', null), cast(c_custkey % 4 as int) + 1) "
         "as scheduled_service",
-        "if(c_custkey % 29 = 0, null, concat(if(c_custkey % 2 = 0, 'KN', 'kn'), "
+        "if(c_custkey % 29 = 0 or c_nationkey = 24, null, concat(if(c_custkey % 2 = 0, 'KN', 'kn'), "
         "lpad(c_nationkey, 2, '0'))) as icao_code",
-        "if(c_custkey % 29 = 0, null, concat(if(c_custkey % 2 = 0, 'N', 'n'), "
+        "if(c_custkey % 29 = 0 or c_nationkey = 24, null, concat(if(c_custkey % 2 = 0, 'N', 'n'), "
         "lpad(c_nationkey, 2, '0'))) as iata_code",
         "'airports.csv' as source_file_name",
         "'star_airports' as source_system",

@@ -47,6 +47,22 @@ def test_flights_are_scanned_once_and_hot_keys_cut_before_the_shuffle(spark, nam
     assert plan.index("Exchange", plan.index("WindowGroupLimit")) < plan.rindex("WindowGroupLimit")
 
 
+SCANS = {
+    "gold_counts": 1,
+    "silver_counts": 1,
+    "weather_asof": 2,
+    "weather_asof_arrivals": 2,
+    "otp_monthly": 1,
+    "route_reference_merged": 1,
+    "known_airports_reasons": 1,
+}
+
+
+@pytest.mark.parametrize("name", SCANS)
+def test_flights_are_derived_no_more_often_than_needed(spark, name):
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", plan_of(spark, name))) == SCANS[name]
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(spark, "weather_clean")
     assert "props" not in re.search(r"ReadSchema: (.*)", plan).group(1)
