@@ -206,6 +206,27 @@ def test_secrets(spark, texts):
         spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
         spelled = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(spans))
         assert row.base_sha256 == hashlib.sha256(spelled.encode()).hexdigest()
+        numbers = Counter(k for _, k, _ in spans)
+        assert (row.n_assign, row.n_access, row.n_hex) == (numbers[0], numbers[1], numbers[2])
+
+
+def test_secrets_of_texts_with_very_many_matches(spark, documents):
+    """Also candidates before, behind and within base spans."""
+    from tarmac.llm.secret_owners import owned_secrets
+
+    many = " ".join(f"{i:016x}" for i in range(30_000))
+    token = "Qz" + "GhJk9" * 5
+    mixed = f"password = {token}.x1 {token}aa {token}-{'0' * 16} {token}Z AKIA{'A1' * 9} " + many[:5000]
+    rows = [(1, many, "en", "s1"), (2, mixed, "en", "s2"), (3, None, "en", None)]
+    out = {r.doc_id: r for r in owned_secrets(documents(rows)).collect()}
+    assert (out[1].n_assign, out[1].n_hex) == (0, 30_000)
+    want = ",".join(f"hex:{17 * i}:{17 * i + 16}" for i in range(30_000))
+    assert out[1].base_sha256 == hashlib.sha256(want.encode()).hexdigest() and out[1].spans == want
+    # The token in the assignment and the one that holds a run of zeros meet base spans, two stand alone.
+    alone = [mixed.index(token + "aa"), mixed.index(token + "Z")]
+    added = [s for s in out[2].spans.split(",") if s.startswith("owned")]
+    assert added == [f"owned:{alone[0]}:{alone[0] + len(token) + 2}", f"owned:{alone[1]}:{alone[1] + len(token) + 1}"]
+    assert out[3].spans == "" and out[3].n_hex == 0
 
 
 def test_owners_tell_copied_from_live(spark, documents):
