@@ -6,8 +6,8 @@ so a chain of n calls takes log2(n) rounds. A call in a cycle, or behind one, ha
 missing is a root and says so.
 
 Calls and results meet in a hash join by identifier. Of several calls or results with one identifier the first by
-turn (then by content) counts; the copies are counted. A call without result has a null result; a null identifier links with
-nothing and is left out, as is a call of a null conversation. Arguments that are not a JSON object, lack a required field,
+turn (then by content) counts; the copies are counted. A call without result has a null result, a result without a call is a row
+with an error; a null identifier links with nothing and is left out, as is a call of a null conversation. Arguments that are not a JSON object, lack a required field,
 hold a field the schema does not list, or hold one of another type are reported in ``errors``. An unknown
 tool name is an error as well. JSON objects are written with sorted keys and without spaces.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm.store import keep, setup
@@ -113,9 +113,14 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     calls = keep(calls.select(*ID, "c.*", "copies"))
     answer = F.min(F.struct("turn", "content")).alias("r")
     results = results.where(there).groupBy(*ID).agg(answer, F.count(F.lit(1)).alias("answers"))
-    results = results.select(*ID, F.col("r.content").alias("content"), "answers")
-    linked = argument_errors(calls, schemas)
-    linked = linked.join(results.hint("shuffle_hash"), ID, "left").join(depths(calls), ID)
+    results = results.select(
+        *ID, F.col("r.turn").alias("answer_turn"), F.col("r.content").alias("content"), "answers"
+    )
+    linked = argument_errors(calls, schemas).join(depths(calls), ID)
+    # Results without a call are rows as well.
+    linked = linked.join(results, ID, "full").withColumn(
+        "errors", F.coalesce("errors", F.array(F.lit("result without a call")))
+    )
     canonical = F.to_json(
         F.struct(
             F.col("after"),
@@ -129,14 +134,14 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     )
     return linked.select(
         *ID,
-        "turn",
+        F.coalesce("turn", "answer_turn").alias("turn"),
         "depth",
         "missing",
         "name",
         (F.size("errors") == 0).alias("valid"),
         F.array_join("errors", "; ").alias("errors"),
         F.coalesce("answers", F.lit(0).cast("long")).alias("answers"),
-        "copies",
+        F.coalesce("copies", F.lit(0).cast("long")).alias("copies"),
         canonical.alias("json"),
     )
 
@@ -145,6 +150,12 @@ def tools(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TOOLS, SCHEMA)
 
 
+def _member(name: str, text: Column) -> Column:
+    """A member of a JSON object with its text escaped."""
+    whole = F.to_json(F.struct(text.alias(name)))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each user turn as a tool call, each assistant turn as the result of the call one turn earlier.
 
@@ -155,7 +166,7 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     limit = F.when(F.col("n") % 7 == 0, F.concat(F.lit('"'), F.col("n"), F.lit('"'))).otherwise(F.col("n").cast("string"))
     query = F.when(
         F.col("n") % 11 == 0, F.lit("")
-    ).otherwise(F.concat(F.lit('"query": "'), F.sha2(F.coalesce("text", F.lit("")), 256), F.lit('", ')))
+    ).otherwise(F.concat(_member("query", F.coalesce("text", F.lit(""))), F.lit(", ")))
     end = F.when(F.col("n") % 13 == 0, "").otherwise("}")
     call_id = F.concat(F.lit("call_"), F.col("turn"))
     calls = turns.where("role = 'user'").select(
@@ -170,6 +181,6 @@ def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv_id",
         F.concat(F.lit("call_"), F.col("turn") - 1).alias("call_id"),
         "turn",
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("content"),
+        F.coalesce("text", F.lit("")).alias("content"),
     )
     return calls, results

@@ -80,7 +80,10 @@ def test_tool_links_on_odd_rows(spark):
         "conv_id long, call_id string, turn long, content string",
     )
     out = {r.call_id: r for r in tool_links.link_tools(calls, results, tool_links.tools(spark)).collect()}
-    assert set(out) == {"a", "b", "c", "d", "e"}
+    assert set(out) == {"a", "b", "c", "d", "e", "zz"}
+    orphan = out["zz"]
+    assert (orphan.errors, orphan.valid, orphan.copies, orphan.answers, orphan.turn) == ("result without a call", False, 0, 1, 1)
+    assert '"result":"orphan"' in orphan.json
     assert out["a"].valid and out["a"].copies == 2 and out["a"].answers == 2 and out["a"].depth == 0
     assert '"result":"early"' in out["a"].json and out["a"].json.startswith('{"arguments":{"query":"x"}')
     assert out["b"].depth == 1 and out["b"].errors == "type of limit; unknown more"

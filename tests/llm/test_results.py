@@ -342,12 +342,22 @@ def test_tool_links_of_conversations(spark):
     calls = {(t["conv_id"], t["turn"]): t for t in table if t["role"] == "user"}
     answers = {(t["conv_id"], t["turn"] - 1): t for t in table if t["role"] == "assistant"}
     out = contract.queries()["op5_tool_links"](spark, FOLDER).collect()
-    assert {(r.conv_id, r.turn) for r in out} == set(calls)
+    orphans = {k: t for k, t in answers.items() if k not in calls}
+    assert {(r.conv_id, r.turn) for r in out if r.copies} == set(calls)
+    assert {(r.conv_id, r.turn - 1) for r in out if not r.copies} == set(orphans)
     for r in out:
         value = json.loads(r.json)
         assert r.json == json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
-        answer = answers.get((r.conv_id, r.turn))
-        assert value.get("result") == (hashlib.sha256(answer["text"].encode()).hexdigest() if answer else None)
+        answer = answers.get((r.conv_id, r.turn if r.copies else r.turn - 1))
+        assert value.get("result") == ((answer["text"] or "") if answer else None)
+        if not r.copies:
+            assert r.errors == "result without a call" and not r.valid
+            continue
+        text = calls[r.conv_id, r.turn]["text"] or ""
+        if len(text) % 13 == 0:
+            assert r.errors == "not an object" and value["arguments"] == {}
+        else:
+            assert value["arguments"].get("query") == (None if len(text) % 11 == 0 else text)
         depth, turn = 0, r.turn
         while (r.conv_id, turn - 2) in calls:
             depth, turn = depth + 1, turn - 2
