@@ -29,10 +29,10 @@ from tarmac.llm.store import setup
 
 # What a task remembers: bytes of encodings (an entry weighs ENTRY besides its contents), none of longer stretches;
 # trie nodes before the trie starts anew; judged pairs of tokens.
-REMEMBERED = 1 << 25
+REMEMBERED = 96 << 20
 ENTRY, LONGEST_REMEMBERED = 200, 64
-TRIE_NODES = 100_000
-PAIRS = 300_000
+TRIE_NODES = 200_000
+PAIRS = 500_000
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
@@ -275,8 +275,10 @@ class Tokenizer:
                 [(special, p if special else self.split(p)) for special, p in self.pieces(text)]
                 for text in texts[first : first + 64]
             ]
-            fresh, spelled = self.learn({w for parts in some for special, p in parts if not special for w in p}, decode)
-            known, named = self.encoded, self.decoded
+            chunks = {w for parts in some for special, p in parts if not special for w in p}
+            fresh, spelled = self.learn(chunks, decode)
+            ids_of = {w: fresh[w] if w in fresh else self.encoded[w] for w in chunks}.__getitem__
+            text_of = {w: spelled[w] if w in spelled else self.decoded[w] for w in chunks if decode}.__getitem__
             for parts in some:
                 ids, spoken = [], []
                 for special, p in parts:
@@ -284,9 +286,9 @@ class Tokenizer:
                         ids.append(np.array([self.special[p]], "<u4").tobytes())
                         spoken.append(p)
                     else:
-                        ids += [fresh[w] if w in fresh else known[w] for w in p]
+                        ids += map(ids_of, p)
                         if decode:
-                            spoken += [spelled[w] if w in spelled else named[w] for w in p]
+                            spoken += map(text_of, p)
                 yield b"".join(ids), " ".join(filter(None, spoken)) if decode else ""
             self._remember(fresh, spelled)
 
