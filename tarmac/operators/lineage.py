@@ -12,7 +12,7 @@ LINEAGE_COLUMNS = ("source_file_name", "source_system", "ingestion_timestamp", "
 
 def scanned_file_name() -> Column:
     """Name of the file a row was read from (use right at the scan)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+$)", 1)
+    return F.col("_metadata.file_name")
 
 
 def _kept_or(df: DataFrame, name: str, fallback: Column) -> Column:

@@ -19,7 +19,7 @@ _LISTING = "catalog STRING, schema STRING, table STRING, table_type STRING, sour
 def _needle(name: str) -> str:
     cleaned = name.strip().lower()
     if not cleaned:
-        raise ValueError("table_name must not be empty")
+        raise ValueError("the name to look for is blank")
     return cleaned
 
 
