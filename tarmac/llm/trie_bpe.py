@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame
 
 from tarmac.llm.store import setup
 
-# What a task remembers: bytes of encodings (an entry weighs ENTRY besides its contents), none of longer stretches;
-# trie nodes before the trie starts anew; judged pairs of tokens.
-REMEMBERED = 96 << 20
+# What a worker remembers over its tasks: bytes of encodings (an entry weighs ENTRY besides its contents; fewer where other
+# stages share the worker), none of longer stretches; trie nodes before the trie starts anew; judged pairs of tokens.
+REMEMBERED, REMEMBERED_IN_STAGES = 256 << 20, 64 << 20
 ENTRY, LONGEST_REMEMBERED = 200, 64
-TRIE_NODES = 200_000
-PAIRS = 500_000
+TRIE_NODES = 300_000
+PAIRS = 1_000_000
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
@@ -208,6 +208,7 @@ class Tokenizer:
         self.trie = TrieEncoder(spec["model"])
         self.names = self.trie.names | {i: t for t, i in self.special.items()}
         self.symbol_of = self.trie.symbols
+        self.bound = REMEMBERED
         self.forget()
 
     def forget(self) -> None:
@@ -243,7 +244,7 @@ class Tokenizer:
         return encoded, decoded
 
     def _remember(self, encoded: dict[str, bytes], decoded: dict[str, str]) -> None:
-        if self.size > REMEMBERED:
+        if self.size > self.bound:
             self.encoded, self.decoded, self.size = {}, {}, 0
         for chunk, ids in encoded.items():
             if len(chunk) <= LONGEST_REMEMBERED:
@@ -308,7 +309,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = load(path)
-        tokenizer.forget()  # workers are reused; the tables of the file stay, what other tasks read does not
+        tokenizer.bound = REMEMBERED
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             rows = [
@@ -318,7 +319,6 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
             frame = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield frame
-        tokenizer.forget()
 
     return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
 
@@ -329,7 +329,7 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load(path)
-        tokenizer.forget()
+        tokenizer.bound = REMEMBERED_IN_STAGES
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 part = batch.slice(low, 64)
@@ -345,7 +345,6 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
                     ],
                     ["doc_id", "lang", "source", "n_tokens", "ids"],
                 )
-        tokenizer.forget()
 
     columns = docs.select("doc_id", "lang", "source", "text")
     types = {f.name: f.dataType.simpleString() for f in columns.schema}
