@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,3 +24,27 @@ def keep_latest(
     order = [F.col(c).desc_nulls_last() for c in newest_first if c in df.columns]
     ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def keep_latest_derived(
+    basis: DataFrame,
+    derive: Callable[[DataFrame], DataFrame],
+    keys: Sequence[str],
+    newest_first: Sequence[str] = NEWEST_FIRST,
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """``keep_latest`` of ``derive(basis)`` for wide rows that follow from narrow ones.
+
+    ``derive`` works row by row and keeps the columns it is given. Only those of ``basis``, the keys, the order and the ``carried``
+    columns are sorted and exchanged; the other columns are derived from the rows that stay.
+    """
+    wide = derive(basis)
+    needed = dict.fromkeys([*keys, *newest_first, *carried])
+    needed = {c: c if c in basis.columns else f"__{c}" for c in needed}
+    narrow = wide.select(
+        *basis.columns, *[F.col(c).alias(n) for c, n in needed.items() if c not in basis.columns]
+    )
+    order = [F.col(needed[c]).desc_nulls_last() for c in newest_first]
+    by_key = Window.partitionBy(*[needed[c] for c in keys]).orderBy(*order)
+    kept = narrow.withColumn(_RANK, F.row_number().over(by_key)).filter(F.col(_RANK) == 1)
+    return derive(kept).withColumns({c: F.col(n) for c, n in needed.items()}).select(*wide.columns)

@@ -26,30 +26,68 @@ def _clock(minutes: str) -> str:
     return f"concat(lpad(({minutes}) div 60, 2, '0'), lpad(({minutes}) % 60, 2, '0'))"
 
 
-def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
-    """Flight feed with text clocks, faulty rows and restated first line items."""
-    lines = table(spark, folder, "lineitem")
+def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
+    """What a flight report is computed from, a row per report; a fraction of its width.
+
+    Orders meet their customers first, so that line items are exchanged for their order and, where parts are
+    many, for their part only.
+    """
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "cast(l_quantity as int) as q",
+        "l_extendedprice",
+        "cast(l_shipdate as date) as flight_date",
+    )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     parts = table(spark, folder, "part").select("p_partkey", "p_brand")
+    ordered = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
     joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     )
     # First line items are reported twice; the second report is a day newer and five minutes later.
-    reports = joined.select(
-        "*", F.explode(F.expr("if(l_linenumber = 1, array(0, 1), array(0))")).alias("restated")
+    return joined.selectExpr(
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "l_linenumber",
+        "q",
+        "flight_date",
+        "o_orderdate",
+        "s_nationkey",
+        "c_nationkey",
+        "c_mktsegment",
+        "p_brand",
+        "unhex(sha2(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, q, "
+        "cast(round(l_extendedprice * 100) as bigint)), 256)) as digest",
+        "explode(if(l_linenumber = 1, array(0, 1), array(0))) as restated",
     )
-    basis = reports.selectExpr(
+
+
+# The order of NEWEST_FIRST in columns of the basis: a record hash is its digest, then whether it is restated; batch
+# and file follow from the order date and from the day, which is part of the key.
+BASIS_NEWEST_FIRST = ("ingestion_timestamp", "digest", "restated")
+
+
+def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
+    """Flight feed with text clocks, faulty rows and restated first line items."""
+    return reports_of(flight_basis(spark, folder))
+
+
+def reports_of(basis: DataFrame, *keep: str) -> DataFrame:
+    """The raw reports of ``flight_basis``, and the columns ``keep`` of it."""
+    terms = basis.selectExpr(
         "*",
         "(l_orderkey * 7 + l_linenumber * 131) % 1440 as m",
         "((l_orderkey * 7 + l_linenumber * 131) % 1440 + 45 + l_suppkey % 400) % 1440 as m2",
-        "cast(l_quantity as int) as q",
-        "cast(l_quantity as int) - 12 as dd",
-        "cast(cast(l_quantity as int) - 24 + l_partkey % 33 as int) as ad",
+        "q - 12 as dd",
+        "cast(q - 24 + l_partkey % 33 as int) as ad",
         "(l_orderkey + l_linenumber) % 25 = 0 as canc",
     )
 
@@ -59,8 +97,9 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
             "ad + 5 * restated, 0) as double)"
         )
 
-    return basis.selectExpr(
-        "cast(l_shipdate as date) as flight_date",
+    return terms.selectExpr(
+        *[c for c in keep if c != "flight_date"],
+        "flight_date",
         "upper(substr(c_mktsegment, 1, 2)) as reporting_airline",
         "c_mktsegment as reporting_airline_name",
         "concat('N', lpad(l_partkey % 1000, 3, '0'), if(l_partkey % 4 = 0, 'B0', "
@@ -93,14 +132,12 @@ def raw_flights(spark: SparkSession, folder: str) -> DataFrame:
         f"{cause(3)} as security_delay",
         f"{cause(4)} as late_aircraft_delay",
         "concat('line ', l_orderkey, '/', l_linenumber) as raw_record",
-        "concat('flights_', date_format(l_shipdate, 'yyyy-MM'), '.csv') as source_file_name",
+        "concat('flights_', date_format(flight_date, 'yyyy-MM'), '.csv') as source_file_name",
         "'star_feed' as source_system",
         "cast(o_orderdate as timestamp) + make_dt_interval(restated) as ingestion_timestamp",
         "concat('batch_', year(o_orderdate), if(restated = 1, '_r', '')) as batch_id",
-        "concat(sha2(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, q, "
-        "cast(round(l_extendedprice * 100) as bigint)), 256), if(restated = 1, '|r', '')) "
-        "as record_hash",
-        "date_format(l_shipdate, 'yyyy-MM') as year_month",
+        "concat(lower(hex(digest)), if(restated = 1, '|r', '')) as record_hash",
+        "date_format(flight_date, 'yyyy-MM') as year_month",
     )
 
 
