@@ -201,11 +201,12 @@ def with_aircraft_names(per_tail: DataFrame, aircraft: DataFrame) -> DataFrame:
     """The aircraft type where it is known; ``aircraft`` holds each code once.
 
     The type depends on the tail number alone, so the flights are aggregated first and the
-    names joined to the much smaller result.
+    names joined to the much smaller result. Codes have four characters at most and a few hold
+    most flights: the names are broadcast, so that no task gets all flights of a code.
     """
     names = aircraft.select(F.upper("aircraft_code").alias("aircraft_code"), "aircraft_name")
     typed = per_tail.withColumn("aircraft_code", tail_code(F.col("tail_number")))
-    return typed.join(names, "aircraft_code", "left")
+    return typed.join(F.broadcast(names), "aircraft_code", "left")
 
 
 def aircraft_performance(

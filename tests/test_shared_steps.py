@@ -57,3 +57,15 @@ def test_flights_read_several_times_are_exchanged_once(spark, name):
     final = final[: final.index("== Initial Plan ==")]
     exchanges = [x for x in final.splitlines() if re.search(r"hashpartitioning\(flight_date#\d+, __reporting", x)]
     assert len([x for x in exchanges if "ReusedExchange" not in x]) == 1 < len(exchanges)
+
+
+@pytest.mark.parametrize("name", ["aircraft_perf", "aircraft_perf_merged"])
+def test_flights_are_not_dealt_by_aircraft_code(spark, name):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = plan_of(spark, name)
+    finally:
+        spark.conf.set(limit, usual)
+    assert not re.search(r"SortMergeJoin \[aircraft_code", plan)
