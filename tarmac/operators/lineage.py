@@ -11,8 +11,9 @@ LINEAGE_COLUMNS = ("source_file_name", "source_system", "ingestion_timestamp", "
 
 
 def scanned_file_name() -> Column:
-    """Name of the file a row was read from (use right at the scan)."""
-    return F.col("_metadata.file_name")
+    """Name of the file a row was read from (use right at the scan); Spark gives it percent-encoded."""
+    name = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.coalesce(F.try_url_decode(name), F.col("_metadata.file_name"))
 
 
 def _kept_or(df: DataFrame, name: str, fallback: Column) -> Column:
