@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tarmac.operators.latest import keep_latest, keep_latest_derived
+from tarmac.plans.weather import latest_observations
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -69,3 +70,35 @@ def test_flights_are_not_dealt_by_aircraft_code(spark, name):
     finally:
         spark.conf.set(limit, usual)
     assert not re.search(r"SortMergeJoin \[aircraft_code", plan)
+
+
+def test_each_clock_is_parsed_once(spark):
+    plan = plan_of(spark, "overnight_roll")
+    for clock in ("crs_dep_time", "crs_arr_time", "dep_time", "arr_time"):
+        assert len(re.findall(rf"try_cast\({clock}#", plan)) == 1
+    assert len(re.findall(r"try_cast\(crs_\w+_time#", plan_of(spark, "movement_weather"))) == 2
+
+
+@pytest.mark.parametrize("age", [60, 120])
+def test_observations_are_placed_in_two_periods_at_most(spark, age):
+    """Against brute force, around the ends of periods, which are as long as eight times the age."""
+    start = 1_000_000_000 // (8 * 60 * age) * 8 * 60 * age
+    seen = [(s, start + d * 60 + 1) for s in ("A", "B") for d in (*range(-3 * age, 3 * age, 7), 8 * age - 1, 8 * age)]
+    asked = [(s, start + d * 60) for s in ("A", "B", "C", None) for d in range(-3 * age, 9 * age + 99, 11)]
+    moment = F.timestamp_seconds("t")
+    weather = spark.createDataFrame(seen, "station_id string, t long").select(
+        "station_id",
+        moment.alias("observation_time"),
+        F.col("t").cast("string").alias("flight_category"),
+        F.lit(1.0).alias("wind_speed_kt"),
+        F.lit(1.0).alias("visibility_statute_mi"),
+    )
+    probes = spark.createDataFrame(asked, "station_id string, t long").withColumn("minute", moment)
+    found = latest_observations(probes, weather, age)
+    got = sorted((str(r["station_id"]), r["t"], r["observation"] and int(r["observation"][1])) for r in found.collect())
+    want = [
+        (str(s), t, max((o for p, o in seen if p == s and t - age * 60 <= o <= t), default=None)) for s, t in asked
+    ]
+    assert got == sorted(want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "date_trunc(hour" not in plan
