@@ -14,6 +14,9 @@ def batch_ids(df: DataFrame) -> DataFrame:
 
 
 def replace_batches(current: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``current`` without the batches that ``incoming`` delivers again, plus ``incoming``."""
-    kept = current.join(batch_ids(incoming), "batch_id", "left_anti")
+    """``current`` without the batches that ``incoming`` delivers again, plus ``incoming``.
+
+    A load names few batches and a batch holds many rows: the ids are broadcast, so that no task gets all rows of a batch.
+    """
+    kept = current.join(F.broadcast(batch_ids(incoming)), "batch_id", "left_anti")
     return kept.unionByName(incoming)

@@ -79,6 +79,17 @@ def test_each_clock_is_parsed_once(spark):
     assert len(re.findall(r"try_cast\(crs_\w+_time#", plan_of(spark, "movement_weather"))) == 2
 
 
+def test_batches_are_not_dealt_by_their_id(spark):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = plan_of(spark, "batch_replace")
+    finally:
+        spark.conf.set(limit, usual)
+    assert not re.search(r"SortMergeJoin \[batch_id", plan)
+
+
 @pytest.mark.parametrize("age", [60, 120])
 def test_observations_are_placed_in_two_periods_at_most(spark, age):
     """Against brute force, around the ends of periods, which are as long as eight times the age."""
