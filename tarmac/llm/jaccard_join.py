@@ -16,7 +16,8 @@ at least 0.8 is D(x, y) <= (|x| + |y|) / 9, and implies that the sizes differ by
    ``D(x, p) - D(x, home) <= 2 eps`` are replicated to cell p, cells recurse. Distances here are Hamming distances of
    parity sketches, a metric that never exceeds D, so nothing is lost. Regions beyond
    ``BLOCK`` classes are dealt out as pairs of blocks.
-5. Surviving pairs are verified on the exact sets.
+5. Surviving pairs are verified on the exact sets: first a few partners of each set, which join most of what belongs
+   together, then, with the components that gives, all pairs that are still between two components.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing (their own doc_id is
 the component). Fewer than five words make one shingle. Repeated rows give repeated result rows. Columns
@@ -42,6 +43,7 @@ LEAF = 64
 DENSE = 32  # classes from which on a region carries what precedes its shingle
 TRIES = 4  # pivots that each set meets
 PIVOTS = 12
+PARTNERS = 4  # candidates of each set that are verified before the rest
 _U = np.uint64
 
 
@@ -355,7 +357,27 @@ def region_pairs(n, comp, sketches: list[bytes], half=None) -> tuple[np.ndarray,
     return a[good], b[good]
 
 
+def _few_of_each(x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of each row the first ``PARTNERS``, in an order that does not depend on the region."""
+    both = np.concatenate([x, y])
+    order = np.lexsort((np.tile(mix(cls[x].view(_U) + cls[y].view(_U)), 2), both))
+    ends = _runs([both[order]])
+    place = np.arange(len(both)) - np.repeat(ends[:-1], np.diff(ends))
+    few = np.unique(order[place < PARTNERS] % max(1, len(x)))
+    return x[few], y[few]
+
+
+def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of each region, a few partners of each row: their number is linear in the rows."""
+    return _candidates(batches, _few_of_each)
+
+
 def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All candidates of each region."""
+    return _candidates(batches)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], choose=None) -> Iterator[pa.RecordBatch]:
     for table in _by_region(batches):
         cls, n, rank, comp, half = (table.column(c).to_numpy() for c in ("cls", "n", "rank", "comp", "half"))
         sketches = table.column("sketch").to_pylist()
@@ -374,6 +396,8 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before = [set(e or ()) for e in earlier[a:b]]
                 own = np.array([before[i].isdisjoint(before[j]) for i, j in zip(x, y, strict=True)], bool)
                 x, y = x[own], y[own]
+            if choose:
+                x, y = choose(x, y, cls[a:b])
             left.append(cls[a + x])
             right.append(cls[a + y])
         x, y = np.concatenate(left), np.concatenate(right)
@@ -473,10 +497,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     known = classes.select("cls", "doc_id", "k1", "k2")
     links = _verified(docs, known, pairs)
     release(live, met, pairs)
-    joined = components(links)
 
-    state = mated.join(joined.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    state = state.select("s", "cls", "n", "rank", "k", F.coalesce("root", "cls").alias("comp"))
+    state = mated.select("s", "cls", "n", "rank", "k")
     g = F.greatest(F.lit(1), F.ceil(F.col("k") / BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("cls"), g).cast("int")
     cell = F.explode(
@@ -485,21 +507,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     state = state.withColumn("g", g).withColumn("own", own).withColumn("block", cell)
     # Blocks (i, i) compare within block i, blocks (i, j) across.
     half = F.expr("if(g = 1 or block div g = block % g, -1, own)").alias("half")
-    state = state.select("s", "block", "cls", "n", "rank", "comp", "k", half)
-    # Only what may still be linked takes its sketch along.
-    narrow = state.repartition(parts, "s", "block").sortWithinPartitions("s", "block", "n", "comp")
+    state = state.select("s", "block", "cls", "n", "rank", "k", half)
     open_rows = "s long, block int, cls long, n long, rank int, comp long, k long, half int"
-    state = keep(narrow.mapInArrow(_undecided, open_rows))
-    release(mated)
     earlier = F.when(F.col("k") >= DENSE, F.slice("anchors", 1, F.col("rank"))).alias("earlier")
-    state = state.join(classes.select("cls", "sketch", "anchors"), "cls").withColumn("earlier", earlier)
-    state = state.repartition(parts, "s", "block").sortWithinPartitions("s", "block")
-    more = keep(
-        state.select("s", "block", "cls", "n", "rank", "comp", "half", "sketch", "earlier")
-        .mapInArrow(_rest_pairs, "a long, b long")
-        .distinct()
-    )
-    links = links.union(_verified(docs, known, more))
+    tried = None
+    for made in (_first_pairs, _rest_pairs):
+        joined = components(links).select(F.col("node").alias("cls"), "root")
+        # Only what may still be linked takes its sketch along.
+        narrow = state.join(joined, "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
+        narrow = narrow.select("s", "block", "cls", "n", "rank", "comp", "k", "half")
+        narrow = narrow.repartition(parts, "s", "block").sortWithinPartitions("s", "block", "n", "comp")
+        still = keep(narrow.mapInArrow(_undecided, open_rows))
+        release(mated)
+        wide = still.join(classes.select("cls", "sketch", "anchors"), "cls").withColumn("earlier", earlier)
+        wide = wide.repartition(parts, "s", "block").sortWithinPartitions("s", "block")
+        wide = wide.select("s", "block", "cls", "n", "rank", "comp", "half", "sketch", "earlier")
+        more = wide.mapInArrow(made, "a long, b long").distinct()
+        more = keep(more if tried is None else more.join(tried, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            break
+        links = links.union(_verified(docs, known, more))
+        state, tried = still.drop("comp"), more
 
     roots = components(links).select(F.col("node").alias("cls"), "root")
     placed = keep(
