@@ -23,7 +23,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _clock(minutes: str) -> str:
-    return f"concat(lpad(({minutes}) div 60, 2, '0'), lpad(({minutes}) % 60, 2, '0'))"
+    """Hour and minute of a day, each padded to two digits; of one number where there is no sign."""
+    hour, minute = f"({minutes}) div 60", f"({minutes}) % 60"
+    apart = f"concat(lpad({hour}, 2, '0'), lpad({minute}, 2, '0'))"
+    return f"if(({minutes}) >= 0, lpad({hour} * 100 + {minute}, 4, '0'), {apart})"
+
+
+# cast(round(l_extendedprice * 100) as bigint), halves away from zero, without a detour by way of decimal text.
+_CENTS = (
+    "cast(l_extendedprice * 100 as bigint)"
+    " + cast(l_extendedprice * 100 - cast(l_extendedprice * 100 as bigint) >= 0.5D as int)"
+    " - cast(l_extendedprice * 100 - cast(l_extendedprice * 100 as bigint) <= -0.5D as int)"
+)
 
 
 def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,7 +76,7 @@ def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
         "c_mktsegment",
         "p_brand",
         "unhex(sha2(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, q, "
-        "cast(round(l_extendedprice * 100) as bigint)), 256)) as digest",
+        f"{_CENTS}), 256)) as digest",
         "explode(if(l_linenumber = 1, array(0, 1), array(0))) as restated",
     )
 
