@@ -18,6 +18,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,7 @@ REMEMBERED, REMEMBERED_IN_STAGES = 256 << 20, 64 << 20
 ENTRY, LONGEST_REMEMBERED = 200, 64
 TRIE_NODES = 300_000
 PAIRS = 1_000_000
+LETTERS_STAY = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
@@ -203,6 +205,8 @@ class Tokenizer:
             raise ValueError("a decoder or post-processor is not handled")
         self.space = regex.compile(spec["normalizer"]["normalizers"][1]["pattern"]["Regex"])
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # With this pattern ASCII letters alone are one word, spelt as they are.
+        self.letters_stay = self.words.pattern == LETTERS_STAY
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.markers = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.trie = TrieEncoder(spec["model"])
@@ -228,19 +232,23 @@ class Tokenizer:
             return word
         return "".join([self.symbol_of[b] for b in word.encode("utf-8", "replace")])
 
+    def _words_of(self, chunk: str) -> list[str]:
+        return [self._spelling(w) for w in self.words.findall(chunk)]
+
     def learn(self, chunks: set[str], decode: bool) -> tuple[dict[str, bytes], dict[str, str]]:
         """Encodings, and with ``decode`` decoded texts, of stretches without white space that are not remembered."""
-        new = [c for c in chunks if c not in self.encoded or (decode and c not in self.decoded)]
+        new = list(chunks.difference(self.decoded if decode else self.encoded))
         if not new:
             return {}, {}
-        parts = {c: [self._spelling(w) for w in self.words.findall(c)] for c in new}
+        parts = {c: (c,) if self.letters_stay and c.isascii() and c.isalpha() else self._words_of(c) for c in new}
         ids = self.trie.encode(list({w for p in parts.values() for w in p}))
         encoded, decoded = {}, {}
+        name_of = self.names.__getitem__
         for chunk, spellings in parts.items():
-            tokens = [i for w in spellings for i in ids[w]]
-            encoded[chunk] = np.array(tokens, "<u4").tobytes()
+            tokens = ids[spellings[0]] if len(spellings) == 1 else [i for w in spellings for i in ids[w]]
+            encoded[chunk] = pack(f"<{len(tokens)}I", *tokens)
             if decode:
-                decoded[chunk] = " ".join([self.names[i] for i in tokens])
+                decoded[chunk] = " ".join(map(name_of, tokens))
         return encoded, decoded
 
     def _remember(self, encoded: dict[str, bytes], decoded: dict[str, str]) -> None:
@@ -278,8 +286,9 @@ class Tokenizer:
             ]
             chunks = {w for parts in some for special, p in parts if not special for w in p}
             fresh, spelled = self.learn(chunks, decode)
-            ids_of = {w: fresh[w] if w in fresh else self.encoded[w] for w in chunks}.__getitem__
-            text_of = {w: spelled[w] if w in spelled else self.decoded[w] for w in chunks if decode}.__getitem__
+            fresh_or_known = {c: self.encoded[c] for c in chunks.difference(fresh)} | fresh
+            ids_of = fresh_or_known.__getitem__
+            text_of = ({c: self.decoded[c] for c in chunks.difference(spelled)} | spelled if decode else {}).__getitem__
             for parts in some:
                 ids, spoken = [], []
                 for special, p in parts:
