@@ -41,6 +41,20 @@ END = mix(np.array([0x656E64], _U))[0]
 START = mix(np.array([0x7374617274], _U))[0]
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side: the leading ones, mostly zero, take next to nothing where they are stored or sent."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _from_planes(planes: bytes, kind: type) -> np.ndarray:
+    parts = np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(parts.T).view(kind).ravel()
+
+
+def _all_of(column: list[bytes], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(_from_planes(x, kind) for x in column)])
+
+
 # ---- blocks --------------------------------------------------------------------------------
 
 
@@ -52,7 +66,7 @@ def _block(ids: list, held: list, tokens: list[np.ndarray]) -> pa.RecordBatch:
             pa.array([held], pa.list_(pa.bool_())),
             pa.array([np.cumsum([len(t) for t in tokens])], pa.list_(pa.int64())),
             pa.array([vocabulary.tobytes()], pa.binary()),
-            pa.array([places.astype(np.uint32).tobytes()], pa.binary()),
+            pa.array([_planes(places.astype(np.uint32))], pa.binary()),
         ],
         ["doc_ids", "held", "ends", "vocabulary", "tokens"],
     )
@@ -85,7 +99,7 @@ class Block:
     def __init__(self, ends: list[int], held: list[bool], vocabulary: bytes, tokens: bytes):
         words = np.frombuffer(vocabulary, _U)
         self.words = np.append(words, START)
-        self.tokens = np.frombuffer(tokens, np.uint32).astype(np.int64)
+        self.tokens = _from_planes(tokens, np.uint32).astype(np.int64)
         self.ends = np.asarray(ends, np.int64)
         self.begins = np.append(0, self.ends[:-1])
         self.train = np.repeat(~np.asarray(held, bool), self.ends - self.begins)
@@ -164,7 +178,7 @@ def _answer(asked: pa.Table, stats: pa.Table) -> pa.Table:
             at = np.minimum(np.searchsorted(known, words), len(known) - 1)
             there = known[at] == words
             out[there] = values[at[there]]
-        found.append(out.T.tobytes())
+        found.append(_planes(out.T.ravel()))
     return pa.table({"blk": asked.column("blk"), "shard": asked.column("shard"), "counts": pa.array(found, pa.binary())})
 
 
@@ -179,9 +193,9 @@ def _outgoing(shards: int, spread: np.ndarray):
                 firsts = block.words[first[a + runs[:-1]]]
                 rows[0].append(int(shard[a]))
                 rows[1].append(firsts.tobytes())
-                rows[2].append(np.diff(runs).astype(np.uint32).tobytes())
+                rows[2].append(_planes(np.diff(runs).astype(np.uint32)))
                 rows[3].append(block.words[second[a:b]].tobytes())
-                rows[4].append(count[a:b].astype(np.uint32).tobytes())
+                rows[4].append(_planes(count[a:b].astype(np.uint32)))
             n = len(rows[0])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, blk)), pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
@@ -203,12 +217,12 @@ def _merge(table: pa.Table) -> pa.Table:
     sizes = [len(x) // 8 for x in table.column("seconds").to_pylist()]
     first = np.concatenate(
         [
-            np.repeat(np.frombuffer(u, _U), np.frombuffer(n, np.uint32))
+            np.repeat(np.frombuffer(u, _U), _from_planes(n, np.uint32))
             for u, n in zip(table.column("firsts").to_pylist(), table.column("runs").to_pylist(), strict=True)
         ]
     )
     second = np.frombuffer(b"".join(table.column("seconds").to_pylist()), _U)
-    count = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
+    count = _all_of(table.column("counts").to_pylist(), np.uint32)
     _, index, which = np.unique(mix(first * _U(3) + mix(second)), return_index=True, return_inverse=True)
     total = np.bincount(which, weights=count, minlength=len(index)).astype(np.int64)
     answers = total[which].astype(np.uint32)
@@ -217,7 +231,7 @@ def _merge(table: pa.Table) -> pa.Table:
         {
             "blk": table.column("blk"),
             "shard": table.column("shard"),
-            "counts": pa.array([answers[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+            "counts": pa.array([_planes(answers[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
             **{n: pa.nulls(rows, pa.int64()) for n in _NAMES[3:]},
         },
         schema=_SCHEMA,
@@ -310,11 +324,11 @@ def _score(model: Model, shards: int, spread: np.ndarray):
         totals = table.take(np.flatnonzero(kind == 1))
         order = np.argsort(totals.column("shard").to_numpy())
         counts = totals.column("counts").to_pylist()
-        count = np.frombuffer(b"".join(counts[i] for i in order), np.uint32).astype(np.int64)
+        count = _all_of([counts[i] for i in order], np.uint32).astype(np.int64)
         stats = table.take(np.flatnonzero(kind == 2))
         order = np.argsort(stats.column("shard").to_numpy())
         answers = stats.column("counts").to_pylist()
-        parts = [np.frombuffer(answers[i], np.int64).reshape(len(_LOOKED_UP), -1) for i in order]
+        parts = [_from_planes(answers[i], np.int64).reshape(len(_LOOKED_UP), -1) for i in order]
         hashes, values = block.words[_word_shards(block.words, shards)[2]], np.concatenate(parts, axis=1).T
         first, second, _, _, which = block.bigrams(shards, spread)
         u, w = block.words[first], block.words[second]
