@@ -236,9 +236,6 @@ def _undecided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _nearest_pivots(size: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """For sorted sizes: the pivot of each set, taken in order of rank, each serving what is left of its size window."""
-    if len(size) == 2:
-        low = int(rank[0] > rank[1])
-        return np.array([low, low] if 5 * size[0] >= 4 * size[1] else [0, 1])
     home = np.full(len(size), -1, np.int64)
     for p in np.argsort(rank):
         if home[p] < 0:
@@ -256,9 +253,15 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = table.column("n").to_numpy()
         ends = _runs([table.column("s").to_numpy(), table.column("block").to_numpy()])
         near = np.empty((TRIES, len(cls)), np.int64)
+        size = np.diff(ends)
+        two, more = ends[:-1][size == 2], np.flatnonzero(size != 2)
+        apart = 5 * n[two] < 4 * n[two + 1]
         for k in range(TRIES):
             rank = mix(cls.view(_U) + _U(k))
-            for a, b in zip(ends[:-1], ends[1:], strict=True):  # sorted by n within a region
+            low = two + (rank[two] > rank[two + 1])
+            near[k, two] = np.where(apart, two, low)
+            near[k, two + 1] = np.where(apart, two + 1, low)
+            for a, b in zip(ends[more], ends[more + 1], strict=True):  # sorted by n within a region
                 near[k, a:b] = a + _nearest_pivots(n[a:b], rank[a:b])
         mate = _partnered(ends, n, table.column("rank").to_numpy(), cls)
         pivots = cls[near[:, mate]].T
@@ -357,6 +360,39 @@ def region_pairs(n, comp, sketches: list[bytes], half=None) -> tuple[np.ndarray,
     return a[good], b[good]
 
 
+def _small_pairs(starts, size, n, comp, rank, half, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``region_pairs``, for many regions of a few rows, each row with each: pairs first met in their region."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in np.unique(size):
+        i, j = np.triu_indices(k, 1)
+        begin = starts[size == k]
+        left.append((begin[:, None] + i).ravel())
+        right.append((begin[:, None] + j).ravel())
+    a, b = np.concatenate(left), np.concatenate(right)
+    good = (comp[a] != comp[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b]))
+    good &= (9 * (rank[a] + rank[b]) <= n[a] + n[b]) & ((half[a] < 0) | (half[a] != half[b]))
+    a, b = a[good], b[good]
+    width = np.zeros(len(n), np.int64)
+    rows = np.unique(np.concatenate([a, b]))
+    width[rows] = [len(sketches[i]) for i in rows]
+    a, b = np.where(width[a] <= width[b], (a, b), (b, a))
+    near = np.zeros(len(a), bool)
+    place = np.zeros(len(n), np.int64)
+    tables = {}
+    for w in np.unique(width[rows]):
+        own = rows[width[rows] == w]
+        place[own] = np.arange(len(own))
+        tables[w] = np.frombuffer(b"".join(sketches[i] for i in own), _U).reshape(len(own), -1)
+    for w, table in tables.items():
+        for other in (w, 2 * w):
+            at = np.flatnonzero((width[a] == w) & (width[b] == other))
+            if len(at):
+                second = tables[other][place[b[at]]]
+                apart = np.bitwise_count(table[place[a[at]]] ^ (second if other == w else fold(second)))
+                near[at] = 9 * apart.sum(axis=1, dtype=np.int64) <= n[a[at]] + n[b[at]]
+    return a[near], b[near]
+
+
 def _few_of_each(x: np.ndarray, y: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the pairs of each row the first ``PARTNERS``, in an order that does not depend on the region."""
     both = np.concatenate([x, y])
@@ -384,18 +420,24 @@ def _candidates(batches: Iterator[pa.RecordBatch], choose=None) -> Iterator[pa.R
         earlier = table.column("earlier").to_pylist()
         ends = _runs([table.column("s").to_numpy(), table.column("block").to_numpy()])
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            if b - a == 1 or (comp[a:b] == comp[a]).all():
+        small = np.diff(ends) < DENSE
+        x, y = _small_pairs(ends[:-1][small], np.diff(ends)[small], n, comp, rank, half, sketches)
+        if choose:
+            x, y = choose(x, y, cls)
+        left.append(cls[x])
+        right.append(cls[y])
+        for a, b in zip(ends[:-1][~small], ends[1:][~small], strict=True):
+            if (comp[a:b] == comp[a]).all():
                 continue
             split = half[a:b] if half[a] >= 0 else None
             x, y = region_pairs(n[a:b], comp[a:b], sketches[a:b], split)
             # In the region of their first common shingle, what precedes it in either is not in the other.
             first = 9 * (rank[a + x] + rank[a + y]) <= n[a + x] + n[a + y]
             x, y = x[first], y[first]
-            if b - a >= DENSE:  # pairs that share an earlier shingle are found in its region
-                before = [set(e or ()) for e in earlier[a:b]]
-                own = np.array([before[i].isdisjoint(before[j]) for i, j in zip(x, y, strict=True)], bool)
-                x, y = x[own], y[own]
+            # Pairs that share an earlier shingle are found in its region.
+            before = [set(e or ()) for e in earlier[a:b]]
+            own = np.array([before[i].isdisjoint(before[j]) for i, j in zip(x, y, strict=True)], bool)
+            x, y = x[own], y[own]
             if choose:
                 x, y = choose(x, y, cls[a:b])
             left.append(cls[a + x])

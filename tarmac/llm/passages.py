@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.jaccard_join import jaccard_components
 from tarmac.llm.store import keep, mark, release, release_since, setup
-from tarmac.llm.words import SHINGLE, mix, text_bytes, windows, words_of
+from tarmac.llm.words import SHINGLE, Words, mix, text_bytes, windows, words_of
 
 THRESHOLD = 0.8
 RECALL = 0.998
@@ -37,6 +37,8 @@ GAP = 4
 # Words of a window; of so many windows in a row at least one is selected.
 WINDOW = 12
 SELECT = 9
+BLOCK = 1 << 18  # units that are packed together
+SHARD = 4096  # documents a shard of keys
 _U = np.uint64
 _STOPS = np.isin(np.arange(256), [ord(c) for c in ".!?"])
 
@@ -78,125 +80,276 @@ def selected(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     every = windows(hashes, list(range(WINDOW)))
     lowest = every[:n].copy()
-    at = np.arange(n)
+    ahead = np.zeros(n, np.int8)
     for k in range(1, SELECT):
-        less = every[k : k + n] < lowest
-        lowest[less] = every[k : k + n][less]
-        at[less] = np.flatnonzero(less) + k
-    last = np.repeat(ptr[1:], np.diff(ptr))[:n]
-    return np.unique(at[np.arange(n) + WINDOW + SELECT - 1 <= last])
+        np.putmask(ahead, every[k : k + n] < lowest, np.int8(k))
+        np.minimum(lowest, every[k : k + n], out=lowest)
+    whole = np.arange(n) + WINDOW + SELECT - 1 <= np.repeat(ptr[1:], np.diff(ptr))[:n]
+    chosen = np.zeros(n + SELECT, bool)
+    chosen[(np.arange(n) + ahead)[whole]] = True
+    return np.flatnonzero(chosen)
 
 
-def units_of(texts: pa.Array):
-    """(text, first word, words, whole line?, key, bands) of all lines, sentences and selected windows, and the words."""
-    words = words_of(texts)
-    n = len(words.hashes)
-    if not n:
-        return words, None
+def _stops_of(words: Words, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word, whether a line ends behind it, and whether a line or a sentence does."""
     data, offsets = text_bytes(texts)
     shift = np.repeat(offsets[:-1], np.diff(words.ptr))
     ends, begins = words.ends + shift, words.starts + shift
     breaks = np.flatnonzero((data == 10) | (data == 13))
-    line_end = np.zeros(n, bool)
+    line_end = np.zeros(len(ends), bool)
     line_end[:-1] = np.searchsorted(breaks, begins[1:]) > np.searchsorted(breaks, ends[:-1])
-    stops = _STOPS[data[ends - 1]]
-    found = []
-    for line, stop in ((True, line_end), (False, line_end | stops)):
-        starts = _bounds(stop, words.ptr, n)
-        sizes = np.diff(np.append(starts, n))
-        key = _keys(words.hashes, starts, sizes)
-        long = sizes >= SHINGLE
-        bands = np.zeros((len(starts), BANDS if line else 0), _U)
-        if line:
-            every = windows(words.hashes, list(range(SHINGLE)))
-            valid = np.zeros(n, bool)
-            valid[: len(every)] = True
-            last = np.repeat(starts + sizes, sizes)
-            valid &= np.arange(n) + SHINGLE <= last
-            every = np.append(every, np.zeros(n - len(every), _U))
-            for b in range(BANDS):
-                band = np.zeros(len(starts), _U)
-                for r in range(ROWS):
-                    h = mix(every ^ _U(0x9E37 + 7919 * (b * ROWS + r)))
-                    h[~valid] = _U(2**64 - 1)
-                    band = mix(band + np.minimum.reduceat(h, starts))
-                bands[:, b] = mix(band + _U(b))
-        elif len(starts):  # sentences that are whole lines are there already
-            whole = np.isin(starts, found[0][1]) & (line_end[starts + sizes - 1] | np.isin(starts + sizes, words.ptr))
-            long &= ~whole
-        text = np.searchsorted(words.ptr, starts, side="right") - 1
-        keep_ = np.flatnonzero(long)
-        found.append(
-            (text[keep_], starts[keep_], sizes[keep_], np.full(len(keep_), line), key[keep_], bands[keep_])
+    return line_end, line_end | _STOPS[data[ends - 1]]
+
+
+def _stretches(words: Words, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, words) of what lies between stops, if at least ``SHINGLE`` words."""
+    starts = _bounds(stop, words.ptr, len(words.hashes))
+    sizes = np.diff(np.append(starts, len(words.hashes)))
+    long = sizes >= SHINGLE
+    starts, sizes = starts[long], sizes[long]
+    return np.searchsorted(words.ptr, starts, side="right") - 1, starts, sizes
+
+
+def _stretch_keys(words: Words, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    if not len(starts):
+        return np.zeros(0, _U)
+    at = np.repeat(starts - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
+    return _keys(words.hashes[at], np.append(0, np.cumsum(sizes)[:-1]), sizes)
+
+
+def _bands(words: Words, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The MinHash bands of lines."""
+    bands = np.zeros((len(starts), BANDS), _U)
+    if not len(starts):
+        return bands
+    every = windows(words.hashes, list(range(SHINGLE)))
+    sizes = sizes - SHINGLE + 1
+    first = np.append(0, np.cumsum(sizes)[:-1])
+    every = every[np.repeat(starts - first, sizes) + np.arange(sizes.sum())]
+    for b in range(BANDS):
+        band = np.zeros(len(starts), _U)
+        for r in range(ROWS):
+            band = mix(band + np.minimum.reduceat(mix(every ^ _U(0x9E37 + 7919 * (b * ROWS + r))), first))
+        bands[:, b] = mix(band + _U(b))
+    return bands
+
+
+UNITS = "doc_id long, row long, first_word int, n_words int, key long, bands array<long>"
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All lines; those that repeat within a batch have bands only once."""
+    for batch in batches:
+        texts = batch.column("text")
+        words = words_of(texts)
+        if not len(words.hashes):
+            continue
+        text, starts, sizes = _stretches(words, _stops_of(words, texts)[0])
+        key = _stretch_keys(words, starts, sizes)
+        once = np.zeros(len(key), bool)
+        once[np.unique(key, return_index=True)[1]] = True
+        bands = _bands(words, starts[once], sizes[once])
+        ptr = np.append(0, np.cumsum(once * BANDS)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").take(pa.array(text)),
+                batch.column("row").take(pa.array(text)),
+                pa.array((starts - words.ptr[text]).astype(np.int32)),
+                pa.array(sizes.astype(np.int32)),
+                pa.array(key.view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ptr), pa.array(bands.view(np.int64).ravel())),
+            ],
+            ["doc_id", "row", "first_word", "n_words", "key", "bands"],
         )
+
+
+def units_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, kind, key) of all lines, sentences and selected windows.
+
+    Places count from the first word of the text; a kind is twice the number of words, and one more for a line.
+    """
+    words = words_of(texts)
+    if not len(words.hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
+    line_end, stop = _stops_of(words, texts)
+    text, starts, sizes = _stretches(words, line_end)
+    units = [(text, starts, 2 * sizes + 1, _stretch_keys(words, starts, sizes))]
+    line_size = np.zeros(len(words.hashes), np.int64)
+    line_size[starts] = sizes
+    text, starts, sizes = _stretches(words, stop)
+    own = line_size[starts] != sizes  # sentences that are whole lines are there already
+    text, starts, sizes = text[own], starts[own], sizes[own]
+    units.append((text, starts, 2 * sizes, _stretch_keys(words, starts, sizes)))
     at = selected(words.hashes, words.ptr)
     text = np.searchsorted(words.ptr, at, side="right") - 1
-    sizes = np.full(len(at), WINDOW)
-    found.append((text, at, sizes, np.zeros(len(at), bool), _window_keys(words.hashes, at), np.zeros((len(at), 0), _U)))
-    return words, found
+    units.append((text, at, np.full(len(at), 2 * WINDOW), _window_keys(words.hashes, at)))
+    text, at, kind, key = (np.concatenate(x) for x in zip(*units, strict=True))
+    return text, at - words.ptr[text], kind, key
 
 
-UNITS = "doc_id long, row long, first_word int, n_words int, key long, bands array<long>"
+# ---- units that repeat: dealt out by key, packed --------------------------------------------------
 
+DEALT = "shard int, known boolean, low long, keys binary, rows binary, places binary, kinds binary"
 
-def _batch(ids, rows, text, starts, sizes, key, bands) -> pa.RecordBatch:
-    n, k = bands.shape
-    ptr = np.arange(n + 1, dtype=np.int32) * k
-    return pa.RecordBatch.from_arrays(
-        [
-            ids.take(pa.array(text)),
-            rows.take(pa.array(text)),
-            pa.array(starts.astype(np.int32)),
-            pa.array(sizes.astype(np.int32)),
-            pa.array(key.view(np.int64)),
-            pa.ListArray.from_arrays(pa.array(ptr), pa.array(bands.view(np.int64).ravel())),
-        ],
-        ["doc_id", "row", "first_word", "n_words", "key", "bands"],
-    )
 
+def _small(numbers: np.ndarray) -> bytes:
+    """Numbers from 0, in as many bytes each as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0)))).tobytes()
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, np.dtype(f"u{len(packed) // n}") if n else np.uint8).astype(np.int64)
+
+
+def _deal(shards: int):
+    """Units of ``BLOCK`` or more at a time, a row for each block and shard of their keys.
+
+    Units that repeat within the block need nobody else: they go on as they are, to any shard, and only one mark
+    (kind 0) for each such key goes to the shard of the key. So a shard gets a key once from a block, however common it is.
+    """
+
+    def block(rows, places, kinds, keys) -> pa.RecordBatch:
+        order = np.argsort(keys)
+        rows, places, kinds, keys = rows[order], places[order], kinds[order], keys[order]
+        low = int(rows.min())
+        rows = rows - low
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        known = np.minimum.reduceat(rows, first) < np.maximum.reduceat(rows, first)
+        mark, known = first[known], np.repeat(known, np.diff(np.append(first, len(keys))))
+        out: list[tuple] = []
+        if known.any():
+            sure = [keys[known].tobytes(), *(_small(x[known]) for x in (rows, places, kinds))]
+            out.append((low % shards, True, low, *sure))
+            kinds[mark] = 0
+            known[mark] = False
+            rows, places, kinds, keys = (x[~known] for x in (rows, places, kinds, keys))
+        shard = ((keys >> _U(32)) * _U(shards) >> _U(32)).astype(np.int64)
+        cuts = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(keys))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = [keys[a:b].tobytes(), *(_small(x[a:b]) for x in (rows, places, kinds))]
+            out.append((int(shard[a]), False, low, *part))
+        kinds_ = [pa.int32(), pa.bool_(), pa.int64(), *[pa.binary()] * 4]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds_, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "known", "low", "keys", "rows", "places", "kinds"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            text, place, kind, key = units_of(batch.column("text"))
+            if not len(key):
+                continue
+            rows = batch.column("row").to_numpy()[text]
+            held.append((rows, place, kind, key))
+            if sum(len(h[0]) for h in held) >= BLOCK:
+                yield block(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held = []
+        if held:
+            yield block(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return run
+
+
+PLAIN = "row long, first_word int, n_words int, key long, window boolean"
+
+
+def _plain(rows, places, kinds, keys) -> Iterator[pa.RecordBatch]:
+    step = 1 << 16
+    for a in range(0, len(keys), step):
+        kind = kinds[a : a + step]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows[a : a + step]),
+                pa.array(places[a : a + step].astype(np.int32)),
+                pa.array((kind >> 1).astype(np.int32)),
+                pa.array(keys[a : a + step].view(np.int64)),
+                pa.array(kind == 2 * WINDOW),
+            ],
+            ["row", "first_word", "n_words", "key", "window"],
+        )
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    keys = np.frombuffer(row["keys"], _U)
+    rows, places, kinds = (_wide(row[c], len(keys)) for c in ("rows", "places", "kinds"))
+    return rows + row["low"], places, kinds, keys
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The units whose keys are in several rows; the rows of a shard come one after the other."""
+
+    def close(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        rows, places, kinds, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(keys)
+        in_order = keys[order]
+        first = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
+        row = rows[order]
+        again = np.minimum.reduceat(row, first) < np.maximum.reduceat(row, first)
+        again |= np.minimum.reduceat(kinds[order], first) == 0
+        again = order[np.repeat(again, np.diff(np.append(first, len(keys))))]
+        again = again[kinds[again] > 0]
+        yield from _plain(rows[again], places[again], kinds[again], keys[again])
+
+    shard, held = None, []
     for batch in batches:
-        words, found = units_of(batch.column("text"))
-        for text, starts, sizes, _, key, bands in found or []:
-            yield _batch(batch.column("doc_id"), batch.column("row"), text, starts - words.ptr[text], sizes, key, bands)
+        for row in batch.to_pylist():
+            if row["known"]:
+                yield from _plain(*_unpacked(row))
+                continue
+            if held and row["shard"] != shard:
+                yield from close(held)
+                held = []
+            shard = row["shard"]
+            held.append(_unpacked(row))
+    if held:
+        yield from close(held)
 
 
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All windows near the repeated ones (``hits``): they lead to the true ends of what is shared."""
     for batch in batches:
         words = words_of(batch.column("text"))
-        near = []
-        for i, hits in enumerate(batch.column("hits").to_pylist()):
-            pairs = np.array(sorted((h["at"], h["first"]) for h in hits), np.int64)
-            hits, first = pairs[:, 0], pairs[:, 1]
-            # Between windows of one origin that touch there is nothing to add.
-            new = np.ones(len(hits) + 1, bool)
-            new[1:-1] = (np.diff(hits) > SELECT) | (np.diff(first) != 0)
-            down = hits[new[:-1]][:, None] + np.arange(1 - SELECT, 0)
-            up = hits[new[1:]][:, None] + np.arange(1, SELECT)
-            at = np.unique(np.concatenate([down.ravel(), up.ravel()]))
-            at = at[(at >= 0) & (at + WINDOW <= words.ptr[i + 1] - words.ptr[i])]
-            near.append(np.setdiff1d(at, hits, assume_unique=False))
-        sizes = [len(x) for x in near]
-        text = np.repeat(np.arange(len(near)), sizes)
-        at = np.concatenate(near) if near else np.zeros(0, np.int64)
-        key = _window_keys(words.hashes, at + words.ptr[text])
-        bands = np.zeros((len(at), 0), _U)
-        yield _batch(batch.column("doc_id"), batch.column("row"), text, at, np.full(len(at), WINDOW), key, bands)
+        hits = batch.column("hits")
+        text = np.repeat(np.arange(len(hits)), hits.value_lengths().to_numpy())
+        at, first = (hits.flatten().field(c).to_numpy().astype(np.int64) for c in ("at", "first"))
+        order = np.lexsort((first, at, text))
+        text, at, first = text[order], at[order], first[order]
+        # Between windows of one origin that touch there is nothing to add.
+        new = np.ones(len(at) + 1, bool)
+        new[1:-1] = (np.diff(text) != 0) | (np.diff(at) > SELECT) | (np.diff(first) != 0)
+        steps = np.arange(1, SELECT)
+        place = np.concatenate([(at[new[:-1]][:, None] - steps).ravel(), (at[new[1:]][:, None] + steps).ravel()])
+        where = np.concatenate([np.repeat(text[x], len(steps)) for x in (new[:-1], new[1:])])
+        inside = (place >= 0) & (place + WINDOW <= np.diff(words.ptr)[where])
+        place = place[inside] + words.ptr[where[inside]]
+        near = np.zeros(len(words.hashes), bool)
+        near[place] = True
+        near[at + words.ptr[text]] = False
+        at = np.flatnonzero(near)
+        text = np.searchsorted(words.ptr, at, side="right") - 1
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("row").take(pa.array(text)),
+                pa.array((at - words.ptr[text]).astype(np.int32)),
+                pa.array(np.full(len(at), WINDOW, np.int32)),
+                pa.array(_window_keys(words.hashes, at).view(np.int64)),
+            ],
+            ["row", "first_word", "n_words", "key"],
+        )
 
 
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The wanted lines as texts of their own, each once per document."""
     for batch in batches:
-        words, found = units_of(batch.column("text"))
-        if found is None:
+        texts = batch.column("text")
+        words = words_of(texts)
+        if not len(words.hashes):
             continue
-        data, offsets = text_bytes(batch.column("text"))
-        text, starts, sizes, _, key, _ = found[0]
+        data, offsets = text_bytes(texts)
+        text, starts, sizes = _stretches(words, _stops_of(words, texts)[0])
+        key = _stretch_keys(words, starts, sizes).view(np.int64)
         wanted = [set(w) for w in batch.column("wanted").to_pylist()]
         rows: tuple[list, list] = ([], [])
-        for i, k in enumerate(key.view(np.int64).tolist()):
+        for i, k in enumerate(key.tolist()):
             if k in wanted[text[i]]:
                 wanted[text[i]].remove(k)
                 a, b = words.starts[starts[i]], words.ends[starts[i] + sizes[i] - 1]
@@ -207,15 +360,15 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _near_lines(docs: DataFrame, units: DataFrame) -> DataFrame:
     """Rows (key, root): components of similar lines; every line that meets another in a band takes part in the exact join."""
-    lines = units.where("size(bands) > 0").select("key", "bands", "row")
-    lines = keep(lines.groupBy("key").agg(F.any_value("bands").alias("bands"), F.min("row").alias("row")))
+    lines = units.where("size(bands) > 0")
     bands = lines.select("key", F.explode("bands").alias("band"))
     shared = bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("band")
-    met = bands.join(shared, "band").select("key").distinct().join(lines.select("key", "row"), "key")
+    met = keep(bands.join(keep(shared), "band").select("key").distinct())
+    met = lines.select("key", "row").join(met, "key").groupBy("key").agg(F.min("row").alias("row"))
     wanted = keep(met.groupBy(F.col("row").alias("want")).agg(F.collect_list("key").alias("wanted")))
     texts = docs.join(wanted, F.col("row") == F.col("want")).select("text", "wanted")
     texts = keep(texts.mapInArrow(_line_texts, "doc_id long, text string"))
-    release(lines, wanted)
+    release(wanted)
     return jaccard_components(texts).select(F.col("doc_id").alias("key"), F.col("component_id").alias("root"))
 
 
@@ -273,84 +426,98 @@ def passages_of(units: list[tuple]) -> list[tuple]:
     return out
 
 
+def _merged(row, begin, end, first) -> np.ndarray:
+    """Where stretches of units begin that are next to each other, touch and have one first row."""
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (first[1:] != first[:-1]) | (begin[1:] > end[:-1] + GAP)
+    return np.flatnonzero(new)
+
+
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passages of rows whose units come one after the other."""
+    """Passages of rows whose units come one after the other, sorted by where they begin and end."""
 
-    def close(out: list, doc, units: list) -> None:
+    def close(out: list, row, units: list) -> None:
         for a, b, first, removed in passages_of(units):
-            out.append((doc, a, b - a, first if removed else doc, removed))
+            out.append((row, a, b - a, first if removed else row, removed))
 
     def made(out: list) -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [[]] * 5
         kinds = [pa.int64()] * 4 + [pa.bool_()]
-        names = ["doc_id", "first_word", "n_words", "first_doc_id", "removed"]
+        names = ["row", "first_word", "n_words", "first_row", "removed"]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    doc, row, units = None, None, []
+    row, units = None, []
     for batch in batches:
+        if not batch.num_rows:
+            continue
         out: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in ("doc_id", "row", "first_word", "end", "first_doc_id", "first_row")]
-        for d, r, a, b, first, first_row in zip(*columns, strict=True):
+        columns = [batch.column(c).to_numpy() for c in ("row", "first_word", "end", "first_row")]
+        at = _merged(*columns)
+        ends = np.maximum.reduceat(columns[2], at)
+        lists = [columns[0][at].tolist(), columns[1][at].tolist(), ends.tolist(), columns[3][at].tolist()]
+        for r, a, b, first in zip(*lists, strict=True):
             if r != row:
-                close(out, doc, units)
-                doc, row, units = d, r, []
-            units.append((a, b, first, first_row, first_row != r))
+                close(out, row, units)
+                row, units = r, []
+            units.append((a, b, first, first, first != r))
         yield made(out)
     out = []
-    close(out, doc, units)
+    close(out, row, units)
     yield made(out)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, first_word, n_words, first_doc_id, removed), a row per passage and document."""
     spark = setup(docs.sparkSession)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # Stored, so that a row has one number wherever it is read.
-    docs = keep(docs.withColumn("row", F.monotonically_increasing_id()))
-    units = keep(docs.mapInArrow(_units, UNITS))
+    # Stored, so that a row has one number wherever it is read. The numbers are in the order in which documents come first.
+    docs = docs.withColumn("read", F.monotonically_increasing_id()).sort(F.col("doc_id").asc_nulls_last(), "read")
+    docs = keep(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")))
+    lines = keep(docs.mapInArrow(_units, UNITS))
     made = mark()
-    roots = keep(_near_lines(docs, units))
+    roots = keep(_near_lines(docs, lines))
     release_since(made, roots)
     several = roots.groupBy("root").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("root")
     roots = keep(roots.join(several, "root").select("key", "root"))
+    similar = keep(lines.select("row", "first_word", "n_words", "key").join(roots.select("key"), "key"))
+    release(lines)
 
-    def twice(units: DataFrame) -> DataFrame:
-        rows = units.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
-        return rows.where("lo < hi").select("key")
-
-    # From here on only keys that repeat or belong to similar lines.
-    plain = units.withColumn("window", (F.size("bands") == 0) & (F.col("n_words") == WINDOW)).drop("bands")
-    again = twice(plain).union(roots.select("key")).distinct()
-    some = keep(plain.select("doc_id", "row", "first_word", "n_words", "key", "window").join(again, "key"))
-    release(units)
+    # From here on only units whose keys repeat or that are similar lines.
+    dealt = docs.select("row", "text").mapInArrow(_deal(max(parts, docs.count() // SHARD)), DEALT)
+    dealt = dealt.repartition(parts, "shard").sortWithinPartitions("shard")
+    some = keep(dealt.mapInArrow(_repeated, PLAIN))
     drawn = some.where("window")
-    origin = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row"))
-    origin = drawn.groupBy("key").agg(origin["row"].alias("first"))
-    hits = drawn.select("key", "row", "first_word").join(origin, "key").groupBy(F.col("row").alias("want"))
+    origin = F.min(F.when(F.col("window"), F.col("row"))).alias("first")
+    seen = keep(some.groupBy("key").agg(F.min("row").alias("lo"), F.max("row").alias("hi"), origin))
+    hits = drawn.select("key", "row", "first_word").join(seen.select("key", "first"), "key")
+    hits = hits.groupBy(F.col("row").alias("want"))
     hits = keep(hits.agg(F.collect_list(F.struct(F.col("first_word").alias("at"), "first")).alias("hits")))
-    found = docs.join(hits, F.col("row") == F.col("want")).select("doc_id", "row", "text", "hits")
-    more = keep(found.mapInArrow(_around, UNITS).drop("bands"))
-    columns = ["doc_id", "row", "first_word", "n_words", "key"]
-    units = some.select(columns).union(more.select(columns))
-    by_key = units.groupBy("key").agg(
-        F.min("row").alias("lo"), F.max("row").alias("hi"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "first_word")).alias("first"),
-    )
-    by_key = keep(by_key.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
-    groups = by_key.groupBy("root").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("first").alias("first"))
-    groups = groups.where("lo < hi").select("root", "first")
-    known = keep(by_key.select("key", "root").join(groups, "root").select("key", "first"))
+    found = docs.join(hits, F.col("row") == F.col("want")).select("row", "text", "hits")
+    columns = ["row", "first_word", "n_words", "key"]
+    more = keep(found.mapInArrow(_around, "row long, first_word int, n_words int, key long"))
+    release(hits)
+    other = more.select("key", "row").union(similar.select("key", "row"))
+    spans = seen.drop("first").union(other.select("key", F.col("row").alias("lo"), F.col("row").alias("hi")))
+    span = (F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # Similar lines count as one, from the first row of any of them.
+    groups = spans.join(roots, "key").groupBy("root").agg(*span).where("lo < hi").select("root", F.col("lo").alias("first"))
+    groups = keep(roots.join(groups, "root").select("key", "first"))
+    known = spans.groupBy("key").agg(*span).join(groups, "key", "left").where("first is not null or lo < hi")
+    known = keep(known.select("key", F.coalesce("first", "lo").alias("first_row")))
+    units = some.select(columns).union(more.select(columns)).union(similar.select(columns))
     flagged = units.join(known, "key").select(
-        "doc_id",
         "row",
         F.col("first_word").cast("long").alias("first_word"),
         (F.col("first_word") + F.col("n_words")).cast("long").alias("end"),
-        F.col("first.doc_id").alias("first_doc_id"),
-        F.col("first.row").alias("first_row"),
+        "first_row",
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     flagged = flagged.repartition(parts, "row").sortWithinPartitions("row", "first_word", "end")
-    return flagged.mapInArrow(_judged, FOUND)
+    found = keep(flagged.mapInArrow(_judged, FOUND))
+    ids = docs.select("row", "doc_id")
+    first = docs.select(F.col("row").alias("first_row"), F.col("doc_id").alias("first_doc_id"))
+    found = found.join(ids, "row").join(first, "first_row")
+    return found.select("doc_id", "first_word", "n_words", "first_doc_id", "removed")
 
 
-FOUND = "doc_id long, first_word long, n_words long, first_doc_id long, removed boolean"
+FOUND = "row long, first_word long, n_words long, first_row long, removed boolean"
