@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.store import components, keep, release, setup
-from tarmac.llm.words import SHINGLE, mix, shingle_set, words_of
+from tarmac.llm.words import SHINGLE, mix, shingle_set, windows, words_of
 
 COMMON_BITS = 20  # at most 2**20 shingles can be common, 8 MB
 COMMON_LEAST = 64
@@ -43,14 +43,42 @@ LEAF = 64
 DENSE = 32  # classes from which on a region carries what precedes its shingle
 TRIES = 4  # pivots that each set meets
 PIVOTS = 12
+TOGETHER = 1 << 17  # words of texts whose sets are made together
 PARTNERS = 4  # candidates of each set that are verified before the rest
 _U = np.uint64
 
 
-def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+def _flat_sets(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of some texts at a time, one after the other, and where each begins."""
     words = words_of(texts)
-    for i in range(len(texts)):
-        yield shingle_set(words.hashes[words.of(i)], SHINGLE)
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(words.ptr, words.ptr[a] + TOGETHER, side="right")) - 1)
+        own = words.ptr[a : b + 1]
+        n = np.diff(own)
+        if b == a + 1 or (n < SHINGLE).all():
+            sets = [shingle_set(words.hashes[words.of(i)], SHINGLE) for i in range(a, b)]
+            yield np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+        else:
+            hashes = words.hashes[own[0] : own[-1]]
+            text = np.repeat(np.arange(b - a), n)
+            at = np.flatnonzero(np.arange(len(hashes)) + SHINGLE <= (own[1:] - own[0])[text])
+            flat, text = windows(hashes, list(range(SHINGLE)))[at], text[at]
+            short = np.flatnonzero((n > 0) & (n < SHINGLE))
+            if len(short):
+                flat = np.concatenate([flat, *(shingle_set(words.hashes[words.of(a + i)], SHINGLE) for i in short)])
+                text = np.append(text, short)
+            order = np.lexsort((flat, text))
+            flat, text = flat[order], text[order]
+            once = np.append(True, (flat[1:] != flat[:-1]) | (text[1:] != text[:-1]))
+            yield flat[once], np.searchsorted(text[once], np.arange(b - a + 1))
+        a = b
+
+
+def _sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    for flat, ptr in _flat_sets(texts):
+        for a, b in zip(ptr[:-1], ptr[1:], strict=True):
+            yield flat[a:b]
 
 
 def _fingerprint(shingles: np.ndarray) -> tuple[int, int]:
@@ -62,6 +90,19 @@ def _fingerprint(shingles: np.ndarray) -> tuple[int, int]:
     return (a ^ len(shingles)) - 2**63, (b & (2**64 - 1)) - 2**63
 
 
+def _fingerprints(flat: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_fingerprint``, of many sets."""
+    n = np.diff(ptr)
+    some = n > 0
+    keys = np.zeros((2, len(n)), np.int64)
+    if some.any():
+        at = ptr[:-1][some]
+        a = np.add.reduceat(mix(flat), at) ^ n[some].astype(_U)
+        b = np.add.reduceat(mix(flat ^ _U(0xA5A5A5A5A5A5A5A5)) * _U(0x9E3779B97F4A7C15), at)
+        keys[:, some] = (np.stack([a, b]) ^ _U(2**63)).view(np.int64)
+    return keys[0], keys[1]
+
+
 def sketch_bits(n: int) -> int:
     return max(64, 2 << max(0, int(n - 1)).bit_length())
 
@@ -74,6 +115,17 @@ def parity_sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _parity_sketches(flat: np.ndarray, ptr: np.ndarray) -> list[bytes]:
+    """As ``parity_sketch``, of many sets."""
+    n = np.diff(ptr)
+    power = np.maximum(6, 1 + np.frexp(np.maximum(n - 1, 0))[1])
+    ends = np.append(0, np.cumsum(1 << power.astype(np.int64)))
+    bins = mix(flat ^ _U(0x5BD1E995)) >> np.repeat(64 - power, n).astype(_U)
+    odd = np.bincount(bins.astype(np.int64) + np.repeat(ends[:-1], n), minlength=ends[-1]) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[a:b] for a, b in zip((ends[:-1] // 8).tolist(), (ends[1:] // 8).tolist(), strict=True)]
+
+
 def fold(sketches: np.ndarray) -> np.ndarray:
     """Rows of 64-bit pieces of sketches, folded to half the number of bins (adjacent bins)."""
     x = sketches ^ (sketches >> _U(1))
@@ -128,37 +180,35 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 
 def _describe(common: np.ndarray):
-    def window(shingles: np.ndarray) -> np.ndarray:
-        take = allowance(len(shingles))
-        if len(common):
-            at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-            late = common[at] == shingles
-            rare = shingles[~late]
-            if len(rare) < take:
-                return np.concatenate([rare, shingles[late][: take - len(rare)]])
-            return rare[:take]
-        return shingles[:take]
+    def window(flat: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first shingles of each set as far as its allowance goes, common ones last; and how many."""
+        n = np.diff(ptr)
+        take = np.where(n > 0, n - -(-4 * n // 5) + 1, 0)
+        text = np.repeat(np.arange(len(n)), n)
+        if len(common) and len(flat):
+            late = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat
+            flat = flat[np.lexsort((late, text))]
+        return flat[np.arange(len(flat)) - ptr[text] < take[text]], take
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, k1, k2, sketches, windows = [], [], [], [], []
-            for s in _sets(batch.column("text")):
-                a, b = _fingerprint(s)
-                sizes.append(len(s))
-                k1.append(a)
-                k2.append(b)
-                sketches.append(parity_sketch(s))
-                windows.append(window(s).view(np.int64))
-            ptr = np.cumsum([0, *map(len, windows)])
-            flat = np.concatenate(windows) if windows else np.zeros(0, np.int64)
+            sizes, k1, k2, anchors, takes = ([np.zeros(0, np.int64)] for _ in range(5))
+            sketches: list[bytes] = []
+            for flat, ptr in _flat_sets(batch.column("text")):
+                sizes.append(np.diff(ptr))
+                for keys, found in zip((k1, k2), _fingerprints(flat, ptr), strict=True):
+                    keys.append(found)
+                sketches += _parity_sketches(flat, ptr)
+                first, take = window(flat, ptr)
+                anchors.append(first.view(np.int64))
+                takes.append(take)
+            ptr = np.append(0, np.cumsum(np.concatenate(takes)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(k1, pa.int64()),
-                    pa.array(k2, pa.int64()),
+                    *(pa.array(np.concatenate(x), pa.int64()) for x in (sizes, k1, k2)),
                     pa.array(sketches, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(np.concatenate(anchors))),
                 ],
                 ["doc_id", "n", "k1", "k2", "sketch", "anchors"],
             )
@@ -465,16 +515,10 @@ def _sketch_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _exact_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = list(_sets(batch.column("text")))
-        keys = [_fingerprint(s) for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.int64()),
-                pa.array([k[1] for k in keys], pa.int64()),
-                pa.array([s.tobytes() for s in sets], pa.binary()),
-            ],
-            ["k1", "k2", "shingles"],
-        )
+        for flat, ptr in _flat_sets(batch.column("text")):
+            keys = (pa.array(k) for k in _fingerprints(flat, ptr))
+            sets = pa.array([flat[a:b].tobytes() for a, b in zip(ptr[:-1], ptr[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*keys, sets], ["k1", "k2", "shingles"])
 
 
 def _exact_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -113,3 +113,23 @@ def test_pairs_of_many_small_regions():
         want |= {(min(p), max(p)) for p in zip((a + x[first]).tolist(), (a + y[first]).tolist(), strict=True)}
     x, y = jaccard_join._small_pairs(starts, np.array(size), n, comp, rank, half, sketches)
     assert {(min(p), max(p)) for p in zip(x.tolist(), y.tolist(), strict=True)} == want and len(want) > 50
+
+
+@pytest.mark.parametrize("together", [1, 300, 1 << 17])
+def test_sets_made_together(together, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TOGETHER", together)
+    r = random.Random(9)
+    texts = [None, "", " \n", *(" ".join(f"w{r.randrange(9)}" for _ in range(r.choice((1, 3, 4, 5, 6, 30, 400)))) for _ in range(90)), ""]
+    words = jaccard_join.words_of(pa.array(texts))
+    sets = [jaccard_join.shingle_set(words.hashes[words.of(i)]) for i in range(len(texts))]
+    common = np.sort(np.unique(np.concatenate(sets))[::3])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    for late in (common, common[:0]):
+        (out,) = jaccard_join._describe(late)(iter([batch]))
+        for x, own in zip(out.to_pylist(), sets, strict=True):
+            assert (x["n"], x["k1"], x["k2"]) == (len(own), *jaccard_join._fingerprint(own))
+            assert x["sketch"] == jaccard_join.parity_sketch(own)
+            in_order = np.concatenate([own[~np.isin(own, late)], own[np.isin(own, late)]])
+            assert x["anchors"] == in_order[: jaccard_join.allowance(len(own))].view(np.int64).tolist()
+    found = pa.Table.from_batches(jaccard_join._exact_sets(iter([batch]))).to_pylist()
+    assert [(x["k1"], x["k2"], x["shingles"]) for x in found] == [(*jaccard_join._fingerprint(x), x.tobytes()) for x in sets]
