@@ -5,7 +5,7 @@ Tokens are words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, then one end t
 1. Texts become blocks: a sorted array of word hashes and the tokens as positions in it. A block holds about
    ``BLOCK_TOKENS`` tokens (a longer text is a block of its own).
 2. Each block sends its distinct bigrams, with their counts in training texts, to shards by the hash of the first word. A word
-   that makes up more than ``1 / SPREAD`` of all tokens is spread over shards by both words; there are at most
+   that makes up more than ``1 / SPREAD`` of all tokens is spread over shards by both words, as is the start mark; there are at most
    ``SPREAD`` of them. The number of shards grows with the corpus, so a shard's size does not.
 3. A shard adds up the counts, sends each block the totals for its bigrams (in the block's own order, so that hashes
    need not travel back) and the context and continuation statistics of words, which Spark sums.
@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.store import keep, release, setup
+from tarmac.llm.store import WIDE_BYTES, keep, release, setup, trim
 from tarmac.llm.words import mix, words_of
 
 BLOCK_TOKENS = 1_000_000
 SHARD_TOKENS = 3_000_000
 SPREAD = 65_536
+LOOKED_UP_AT_ONCE = 65_536
 FOLDS, HELD_OUT = 7, 2
 
 _U = np.uint64
@@ -55,6 +56,13 @@ def _all_of(column: list[bytes], kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(_from_planes(x, kind) for x in column)])
 
 
+def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One hash for each bigram."""
+    pair = mix(second)
+    pair += first * _U(3)
+    return mix(pair)
+
+
 # ---- blocks --------------------------------------------------------------------------------
 
 
@@ -89,8 +97,11 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if total >= BLOCK_TOKENS:
                 yield _block(ids, held, tokens)
                 ids, held, tokens, total = [], [], [], 0
+                trim()
     if ids:
         yield _block(ids, held, tokens)
+        del ids, held, tokens
+    trim()
 
 
 class Block:
@@ -99,29 +110,38 @@ class Block:
     def __init__(self, ends: list[int], held: list[bool], vocabulary: bytes, tokens: bytes):
         words = np.frombuffer(vocabulary, _U)
         self.words = np.append(words, START)
-        self.tokens = _from_planes(tokens, np.uint32).astype(np.int64)
+        self.tokens = _from_planes(tokens, np.uint32)
         self.ends = np.asarray(ends, np.int64)
         self.begins = np.append(0, self.ends[:-1])
         self.train = np.repeat(~np.asarray(held, bool), self.ends - self.begins)
-        self.before = np.empty_like(self.tokens)
-        self.before[1:] = self.tokens[:-1]
-        self.before[self.begins] = len(words)
 
     def bigrams(self, shards: int, spread: np.ndarray):
         """Distinct bigrams by shard: (first, second, shard, count in training texts, bigram of each token)."""
-        key, which = np.unique(self.before * len(self.words) + self.tokens, return_inverse=True)
-        first, second = np.divmod(key, len(self.words))
-        count = np.bincount(which, weights=self.train, minlength=len(key)).astype(np.int64)
+        key = np.empty(len(self.tokens), np.int64)
+        key[1:] = self.tokens[:-1]
+        key[self.begins] = len(self.words) - 1
+        key *= len(self.words)
+        key += self.tokens
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.append(True, key[1:] != key[:-1])
+        runs = np.flatnonzero(new)
+        count = np.add.reduceat(self.train[order], runs, dtype=np.int64)
+        which = np.empty(len(order), np.int32)
+        which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        del order, new
+        first, second = (x.astype(np.int32) for x in np.divmod(key[runs], len(self.words)))
+        del key, runs
         place = mix(self.words)
         shard = place[first]
         if len(spread):
             at = np.minimum(np.searchsorted(spread, self.words), len(spread) - 1)
             wide = (spread[at] == self.words)[first]
-            shard = np.where(wide, mix(shard + self.words[second]), shard)
+            shard[wide] = mix(shard[wide] + self.words[second[wide]])
         shard = (shard % _U(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
         return first[order], second[order], shard[order], count[order], back[which]
 
 
@@ -131,6 +151,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
         for i in range(batch.num_rows):
             blk, *rest = (c[i].as_py() for c in columns)
             yield blk, Block(*rest)
+            del rest
+            trim()
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,6 +223,7 @@ def _outgoing(shards: int, spread: np.ndarray):
                 [pa.array(np.full(n, blk)), pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])],
                 ["blk", "shard", "firsts", "runs", "seconds", "counts"],
             )
+            del block, first, second, shard, count, rows
 
     return run
 
@@ -214,19 +237,25 @@ _SCHEMA = pa.schema([(n, pa.binary() if n == "counts" else pa.int64()) for n in
 def _merge(table: pa.Table) -> pa.Table:
     """One shard: totals back to the blocks, statistics of its words."""
     rows = table.num_rows
-    sizes = [len(x) // 8 for x in table.column("seconds").to_pylist()]
+    seconds = [np.frombuffer(x.as_buffer(), _U) for x in table.column("seconds")]
+    cuts = np.cumsum([0, *map(len, seconds)])
     first = np.concatenate(
         [
-            np.repeat(np.frombuffer(u, _U), _from_planes(n, np.uint32))
-            for u, n in zip(table.column("firsts").to_pylist(), table.column("runs").to_pylist(), strict=True)
+            np.repeat(np.frombuffer(u.as_buffer(), _U), _from_planes(n.as_buffer(), np.uint32))
+            for u, n in zip(table.column("firsts"), table.column("runs"), strict=True)
         ]
     )
-    second = np.frombuffer(b"".join(table.column("seconds").to_pylist()), _U)
-    count = _all_of(table.column("counts").to_pylist(), np.uint32)
-    _, index, which = np.unique(mix(first * _U(3) + mix(second)), return_index=True, return_inverse=True)
-    total = np.bincount(which, weights=count, minlength=len(index)).astype(np.int64)
-    answers = total[which].astype(np.uint32)
-    cuts = np.cumsum([0, *sizes])
+    second = np.concatenate(seconds)
+    count = np.concatenate([_from_planes(x.as_buffer(), np.uint32) for x in table.column("counts")])
+    pair = _pair(first, second)
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    begins = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, np.int64)
+    del pair
+    total = np.add.reduceat(count[order], begins, dtype=np.int64) if len(order) else begins
+    del count
+    answers = np.empty(len(order), np.uint32)
+    answers[order] = np.repeat(total.astype(np.uint32), np.diff(begins, append=len(order)))
     back = pa.table(
         {
             "blk": table.column("blk"),
@@ -236,8 +265,13 @@ def _merge(table: pa.Table) -> pa.Table:
         },
         schema=_SCHEMA,
     )
+    del answers
+    index = order[begins]
+    del order, seconds
     seen = total > 0
-    u, w, total = first[index][seen], second[index][seen], total[seen]
+    index, total = index[seen], total[seen]
+    u, w = first[index], second[index]
+    del first, second, index, seen
     words, places = np.unique(np.concatenate([u, w]), return_inverse=True)
     at_u, at_w = places[: len(u)], places[len(u) :]
     n = len(words)
@@ -252,7 +286,7 @@ def _merge(table: pa.Table) -> pa.Table:
             "blk": pa.nulls(n + 1, pa.int64()),
             "shard": pa.nulls(n + 1, pa.int64()),
             "counts": pa.nulls(n + 1, pa.binary()),
-            "word": pa.array([*words.view(np.int64).tolist(), None], pa.int64()),
+            "word": pa.array(np.append(words.view(np.int64), 0), mask=np.arange(n + 1) == n),
             **{
                 name: pa.array(np.append(x, extra).astype(np.int64))
                 for name, x, extra in zip(_NAMES[4:], sums, [*of_counts[1:5], len(total)], strict=True)
@@ -260,6 +294,8 @@ def _merge(table: pa.Table) -> pa.Table:
         },
         schema=_SCHEMA,
     )
+    del u, w, total, words, places, at_u, at_w, sums
+    trim()
     return pa.concat_tables([back, stats])
 
 
@@ -324,34 +360,44 @@ def _score(model: Model, shards: int, spread: np.ndarray):
         totals = table.take(np.flatnonzero(kind == 1))
         order = np.argsort(totals.column("shard").to_numpy())
         counts = totals.column("counts").to_pylist()
-        count = _all_of([counts[i] for i in order], np.uint32).astype(np.int64)
+        count = _all_of([counts[i] for i in order], np.uint32)
         stats = table.take(np.flatnonzero(kind == 2))
         order = np.argsort(stats.column("shard").to_numpy())
         answers = stats.column("counts").to_pylist()
         parts = [_from_planes(answers[i], np.int64).reshape(len(_LOOKED_UP), -1) for i in order]
         hashes, values = block.words[_word_shards(block.words, shards)[2]], np.concatenate(parts, axis=1).T
+        del totals, counts, stats, answers, parts
         first, second, _, _, which = block.bigrams(shards, spread)
-        u, w = block.words[first], block.words[second]
-        pair = mix(u * _U(3) + mix(w))
+        pair = _pair(block.words[first], block.words[second])
+        logs = np.empty(len(pair))
         with tempfile.TemporaryDirectory() as folder:
             words = Slice(folder, "words", hashes, values)
             bigrams = Slice(folder, "bigrams", pair, count)
-            own, context = words[block.words], words[u]
-            lower = model.word_probability(own[:, 1])[second]
-            p = model.bigram_probability(bigrams[pair], context[:, 5], *context[:, 2:5].T, lower)
-            del words, bigrams
-        c = own[:, 0][block.tokens]
-        add = [np.add.reduceat(x, block.begins) for x in (c > 0, model.base(c), np.log10(p)[which])]
+            del hashes, values, count
+            own = words[block.words]
+            lower = model.word_probability(own[:, 1])
+            for a in range(0, len(pair), LOOKED_UP_AT_ONCE):
+                part = slice(a, a + LOOKED_UP_AT_ONCE)
+                context = words[block.words[first[part]]]
+                c = bigrams[pair[part]].astype(np.int64)
+                p = model.bigram_probability(c, context[:, 5], *context[:, 2:5].T, lower[second[part]])
+                logs[part] = np.log10(p)
+            del words, bigrams, pair, first, second
+        c = own[:, 0]
+        add = [np.add.reduceat(x[places], block.begins) for x, places in ((model.base(c), block.tokens), (logs, which))]
+        known = np.add.reduceat((c > 0)[block.tokens].astype(np.int64), block.begins)
+        del logs, which
         n = len(block.ends)
+        trim()
         return pa.table(
             {
                 "doc_id": pa.array(body["doc_ids"], pa.int64()),
                 "held_out": pa.array(body["held"], pa.bool_()),
                 "n_tokens": block.ends - block.begins,
-                "n_known": np.add.reduceat((c > 0).astype(np.int64), block.begins),
+                "n_known": known,
                 "train_tokens": np.full(n, model.tokens),
-                "base_score": add[1],
-                "score": add[2],
+                "base_score": add[0],
+                "score": add[1],
             }
         )
 
@@ -361,18 +407,20 @@ def _score(model: Model, shards: int, spread: np.ndarray):
 def score_documents(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text); columns as in ``RESULT``."""
     spark = setup(docs.sparkSession)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(WIDE_BYTES))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (F.crc32(key) % FOLDS == HELD_OUT).alias("held")
     )
     blocks = docs.mapInArrow(_pack, BLOCK).withColumn("blk", F.monotonically_increasing_id())
-    blocks = keep(blocks)
+    blocks = keep(blocks, wide=True)
 
     words = keep(blocks.mapInArrow(_word_counts, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
     tokens, types = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).head()
     shards = max(1, -(-tokens // SHARD_TOKENS))
     often = words.where(F.col("c") * SPREAD > tokens).select("word").toPandas()["word"]
-    spread = np.sort(often.to_numpy(np.int64).view(_U))
+    # Each text has a start mark, whose bigrams would all meet in one shard.
+    spread = np.sort(np.append(often.to_numpy(np.int64).view(_U), START))
 
     sent = blocks.mapInArrow(_outgoing(shards, spread), SENT)
     merged = keep(sent.groupBy("shard").applyInArrow(_merge, MERGED))
