@@ -8,6 +8,8 @@ missing codes, impossible clocks, absent actual times, restatements.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +39,13 @@ _CENTS = (
 )
 
 
-def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
+def flight_basis(spark: SparkSession, folder: str, alike: Sequence[str] = ()) -> DataFrame:
     """What a flight report is computed from, a row per report; a fraction of its width.
 
     Orders meet their customers first, so that line items are exchanged for their order and, where parts are
-    many, for their part only.
+    many, for their part only. Where a query reads the basis in several ways, ``alike`` names the columns of the tables that
+    the widest of them needs: each then needs them all, by a condition that holds for every row, and Spark exchanges line items and
+    orders once and reuses that instead of exchanging them again with fewer columns.
     """
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_orderkey",
@@ -62,6 +66,8 @@ def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     )
+    if alike:
+        joined = joined.filter(F.hash(*alike) >= F.lit(-(2**31)))
     # First line items are reported twice; the second report is a day newer and five minutes later.
     return joined.selectExpr(
         "l_orderkey",
@@ -81,6 +87,22 @@ def flight_basis(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# What the tables give to a flight, and what they give to it but for its aircraft.
+NO_AIRCRAFT = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "q",
+    "l_extendedprice",
+    "flight_date",
+    "o_orderdate",
+    "s_nationkey",
+    "c_nationkey",
+    "c_mktsegment",
+)
+WHOLE = (*NO_AIRCRAFT, "p_brand")
+
 # The order of NEWEST_FIRST in columns of the basis: a record hash is its digest, then whether it is restated; batch
 # and file follow from the order date and from the day, which is part of the key.
 BASIS_NEWEST_FIRST = ("ingestion_timestamp", "digest", "restated")
